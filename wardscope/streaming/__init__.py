@@ -1,0 +1 @@
+"""Every input of this library is a bounded table, so there is no streaming operator to offer yet."""
