@@ -98,7 +98,7 @@ def global_quantile_cap(df: DataFrame, column: str, flag: str, capped: str, quan
     The quantile is taken over the distinct counts with their frequencies: a few numbers.
     """
     limit = (df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-             .agg(F.percentile(column, quantile, "_n").alias("limit")).scalar())
+             .agg(F.percentile(column, quantile, F.col("_n")).alias("limit")).scalar())
     return df.withColumns({flag: F.col(column) > limit, capped: F.least(F.col(column).cast("double"), limit)})
 
 
@@ -167,7 +167,7 @@ def target_summary(df: DataFrame, column: str) -> DataFrame:
     """Mean and median of an integer target. Both come from the frequencies of its distinct values."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     return counts.agg((F.sum(F.col(column) * F.col("_n")) / F.sum("_n")).alias("mean_actual"),
-                      F.percentile(column, 0.5, "_n").alias("median_actual"))
+                      F.percentile(column, 0.5, F.col("_n")).alias("median_actual"))
 
 
 def per_key_errors(df: DataFrame, key: str, actual: str, predicted: str) -> DataFrame:

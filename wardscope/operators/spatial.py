@@ -33,11 +33,13 @@ def _grid_pairs(points: DataFrame, key: str, cell_x: Column, cell_y: Column, aro
     """
     placed = points.withColumns({"_x": cell_x, "_y": cell_y})
     steps = F.array(*(F.lit(i) for i in range(-reach, reach + 1)))
-    near_x = F.transform(steps, lambda s: F.col("_x") + s)
+    spread = placed.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
     if around is not None:
-        near_x = F.array_distinct(F.transform(near_x, lambda x: F.pmod(x, around)))
-    spread = placed.withColumn("_x", F.explode(near_x)).withColumn(
-        "_y", F.explode(F.transform(steps, lambda s: F.col("_y") + s)))
+        # With fewer cells than steps, two steps would lead to the same cell.
+        spread = spread.filter((around > 2 * reach) | F.col("_dx").between(0, around - 1))
+    moved_x = F.col("_x") + F.col("_dx")
+    spread = spread.withColumns({"_x": moved_x if around is None else F.pmod(moved_x, around),
+                                 "_y": F.col("_y") + F.col("_dy")})
     left = spread.select(*(F.col(c).alias(f"a_{c}") for c in points.columns), "_x", "_y")
     right = placed.select(*(F.col(c).alias(f"b_{c}") for c in points.columns), "_x", "_y")
     return left.join(right, ["_x", "_y"]).filter(F.col(f"a_{key}") != F.col(f"b_{key}")).drop("_x", "_y")
