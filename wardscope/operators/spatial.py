@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wardscope.operators.aggregates import first_by
@@ -164,10 +164,8 @@ def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples:
     return points.select(key).join(found, key, "left").select(key, F.coalesce(out, F.lit(-1)).alias(out))
 
 
-def _all_before(order: str):
+def _all_before(order: str) -> WindowSpec:
     """All earlier rows; used on the list of clusters, which is far smaller than the points."""
-    from pyspark.sql import Window
-
     return Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
