@@ -87,8 +87,8 @@ def _(t: Tables) -> DataFrame:
 @query("m5a_random_walks", sql(
     f"""+ {EDGES}, s AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS slot, count(*) OVER (PARTITION BY src) AS degree FROM e),
     starts AS (SELECT DISTINCT src FROM s),
-    w(start, walk, step, at, path) AS (SELECT src, r.walk, 1, src, src FROM starts, range(0, 6) AS r(walk)
-      UNION ALL SELECT start, walk, step + 1, dst, path || '>' || dst FROM w JOIN s ON w.at = s.src
+    w(start, walk, step, place, path) AS (SELECT src, r.walk, 1, src, src FROM starts, range(0, 6) AS r(walk)
+      UNION ALL SELECT start, walk, step + 1, dst, path || '>' || dst FROM w JOIN s ON w.place = s.src
         AND s.slot = ('0x' || substr(md5('42:' || start || ':' || walk || ':' || step), 1, 8))::bigint % s.degree WHERE step < 5)
     SELECT start, cast(walk AS int) AS walk, path FROM w WHERE step = 5""", "inc", recursive=True))
 def _(t: Tables) -> DataFrame:

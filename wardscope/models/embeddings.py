@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 
 def walk_embeddings(walks: DataFrame, key: str, dims: int = 8, window: int = 3, seed: int = 42) -> DataFrame:
-    """One row per node of the walks: key and ``Embed_0 …``."""
+    """One row per node of the walks: key and ``Embed_0 …``. No row when there are no walks."""
+    if walks.isEmpty():
+        names = ", ".join(f"Embed_{i} double" for i in range(dims))
+        return walks.sparkSession.createDataFrame([], f"{key} string, {names}")
     model = Word2Vec(vectorSize=dims, windowSize=window, minCount=1, seed=seed, inputCol="path").fit(walks)
     vectors = model.getVectors().select(F.col("word").alias(key), vector_to_array("vector").alias("v"))
     return vectors.select(key, *(F.col("v")[i].alias(f"Embed_{i}") for i in range(dims)))
