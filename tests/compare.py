@@ -20,7 +20,6 @@ def make_session(cores: str = "8") -> SparkSession:
     return (SparkSession.builder.master(f"local[{cores}]").appName("wardscope")
             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
             .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC")
-            .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
             .config("spark.driver.extraJavaOptions", "-Dlog4j2.level=ERROR").getOrCreate())
 
 

@@ -38,19 +38,22 @@ def numbered_neighbours(edges: DataFrame) -> DataFrame:
 def random_walks(edges: DataFrame, length: int = 5, walks: int = 50, seed: int = 42) -> DataFrame:
     """``walk, start, path``: ``walks`` uniform walks of ``length`` nodes from every node with neighbours.
 
-    The next neighbour is chosen by a hash of seed, start, walk number and step; one step is two equi-joins
-    over all walks at once.
+    The next neighbour is chosen by a hash of seed, start, walk number and step; one step is one equi-join of
+    all walks at once, on node and neighbour number, which also spreads the walks that stand on a busy node.
+    Every end of an edge must have an edge of its own, as in a graph with both directions.
     """
-    slots = cut_lineage(numbered_neighbours(edges))
-    degrees = slots.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    numbered = cut_lineage(numbered_neighbours(edges))
+    degrees = numbered.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    # Each neighbour brings its own degree along, so that a step needs one join.
+    slots = cut_lineage(numbered.join(degrees.withColumnRenamed("src", "dst"), "dst", "left"))
     state = degrees.select(F.col("src").alias("start"), F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("walk"),
-                           F.col("src").alias("at"), F.array("src").alias("path"))
+                           F.col("src").alias("at"), F.col("degree").alias("choices"), F.array("src").alias("path"))
     for step in range(1, length):
-        choice = hash_number(seeded_hash(seed, F.col("start"), F.col("walk"), F.lit(step)))
-        chosen = state.join(degrees, F.col("at") == F.col("src")).withColumn("slot", choice % F.col("degree")).drop("src")
-        moved = chosen.join(slots, (F.col("at") == F.col("src")) & (chosen["slot"] == slots["slot"]))
-        state = moved.select("start", "walk", F.col("dst").alias("at"),
-                             F.concat("path", F.array("dst")).alias("path"))
+        number = hash_number(seeded_hash(seed, F.col("start"), F.col("walk"), F.lit(step)))
+        asked = state.select("start", "walk", "path", F.col("at").alias("src"), (number % F.col("choices")).alias("slot"))
+        state = asked.join(slots, ["src", "slot"]).select(
+            "start", "walk", F.col("dst").alias("at"), F.col("degree").alias("choices"),
+            F.concat("path", F.array("dst")).alias("path"))
     return state.select("walk", "start", "path")
 
 

@@ -1,9 +1,10 @@
 """Running totals that stay spread over the cluster when one key holds a large part of the rows.
 
 A window partitioned by a key such as the incident type puts the whole history of a type into one task.
-Here the history of a key is split three times: by a coarse bucket (a day), then by position and tie hash
-inside the bucket, then by row. Each level is a window over groups of bounded size, and each level starts
-from the total of what came before it. Sums of integers are exact, so the result equals the plain window.
+Here the history of a key is split by a coarse bucket (a day): a small table of bucket totals gives each
+bucket the total of those before it, and a window inside the bucket adds the rows before. A bucket that is
+itself too large is split again, by position and tie hash. Sums of integers are exact, so the result equals
+the plain window.
 """
 
 from __future__ import annotations
@@ -14,12 +15,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardscope.operators.joins import null_safe_join
 from wardscope.schema import quoted
 
+# A bucket of up to this many narrow rows is sorted by one task.
+HOT_ROWS = 10_000_000
+
+
+def key_text(columns: Sequence[Column]) -> Column:
+    """One text for several key columns, nulls included."""
+    return F.concat_ws("\x1f", *(F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns))
+
 
 def tie_hash(columns: Sequence[Column]) -> Column:
     """Repeatable order of rows that are equal in everything a window sorts by."""
-    return F.md5(F.concat_ws("\x1f", *(F.coalesce(c.cast("string"), F.lit("\x00")) for c in columns)))
+    return F.md5(key_text(columns))
 
 
 @dataclass
@@ -41,49 +51,75 @@ def _before(partition: Sequence[str], order: Sequence[str], inclusive: bool = Fa
 
 
 def prior_totals(df: DataFrame, specs: Sequence[PriorTotals], coarse: Column, fine: Column, tie: Column,
-                 tie_digits: int = 2) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, tie_digits: int = 2) -> DataFrame:
     """Add the totals of every spec to each row.
 
     ``coarse`` and ``fine`` order the rows: ``coarse`` never falls while ``fine`` rises. ``tie`` is a hex
-    text that orders rows of equal ``fine``; its first ``tie_digits`` digits split a group of equal
-    positions, so that even rows that share key and second are ranked by many tasks.
-    """
-    ordered = df.withColumns({
-        "_coarse": coarse, "_fine": fine, "_tie": tie, "_salt": F.substring(tie, 1, tie_digits),
-        **{f"_m_{name}": F.coalesce(m.cast("long"), F.lit(0)) for spec in specs for name, m in spec.measures.items()},
-    })
-    result = ordered
-    for spec in specs:
-        result = _add_totals(result, ordered, spec)
-    added = [f"_m_{name}" for spec in specs for name in spec.names]
-    return result.drop("_coarse", "_fine", "_tie", "_salt", *added)
-
+    text that orders rows of equal ``fine``. A bucket with more than ``hot_rows`` rows is split by ``fine``
+    and the first ``tie_digits`` digits of ``tie``, so that even rows that share key and second are ranked by
+    many tasks.
 
-def _add_totals(rows: DataFrame, source: DataFrame, spec: PriorTotals) -> DataFrame:
-    keys, sums = list(spec.keys), [f"_m_{name}" for name in spec.names]
-    day, cell = [*keys, "_coarse"], [*keys, "_coarse", "_fine", "_salt"]
+    Several specs share one pass: a row enters it once per spec with nothing but keys, order and measures,
+    and the whole rows are shuffled once, when the totals are joined to them. They are matched by a hash of
+    all columns, so rows that are equal in every column get equal totals.
+    """
+    order = {"_coarse": coarse, "_fine": fine, "_tie": tie}
+    if len(specs) == 1:
+        spec = specs[0]
+        rows = df.withColumns({"_key": key_text([quoted(k) for k in spec.keys]), **order, **_measures(spec.measures)})
+        found = _add_totals(rows, ["_key"], spec.names, spec.inclusive, hot_rows, tie_digits)
+        return found.drop("_key", *order, *(f"_m_{name}" for name in spec.names))
+    width = max(len(spec.names) for spec in specs)
+    names = [f"v{j}" for j in range(width)]
+    rows = df.withColumn("_row_key", tie_hash([quoted(c) for c in df.columns]))
+    entries = []
+    for i, spec in enumerate(specs):
+        values = [*spec.measures.values(), *[F.lit(0)] * (width - len(spec.names))]
+        entries.append(F.struct(F.lit(i).alias("_spec"), key_text([quoted(k) for k in spec.keys]).alias("_key"),
+                                *(m.alias(name) for name, m in _measures(dict(zip(names, values))).items())))
+    stacked = rows.select("_row_key", *(c.alias(name) for name, c in order.items()), F.explode(F.array(*entries)).alias("_e"))
+    found = _add_totals(stacked.select("_row_key", *order, "_e.*"), ["_spec", "_key"], names, specs[0].inclusive,
+                        hot_rows, tie_digits)
+    outputs = [F.max(F.when(F.col("_spec") == i, F.col(f"v{j}"))).alias(name)
+               for i, spec in enumerate(specs) for j, name in enumerate(spec.names)]
+    return rows.join(found.groupBy("_row_key").agg(*outputs), "_row_key").drop("_row_key")
+
+
+def _measures(measures: Mapping) -> dict[str, Column]:
+    return {f"_m_{name}": F.coalesce(m.cast("long"), F.lit(0).cast("long")) for name, m in measures.items()}
+
+
+def _add_totals(rows: DataFrame, keys: list[str], names: Sequence[str], inclusive: bool, hot_rows: int,
+                tie_digits: int) -> DataFrame:
+    """Core on rows with non-null keys, ``_coarse``, ``_fine``, ``_tie`` and measures ``_m_<name>``."""
+    sums, bucket, part = [f"_m_{name}" for name in names], [*keys, "_coarse"], ["_part_fine", "_part_tie"]
 
     def totals(frame: DataFrame, by: list[str]) -> DataFrame:
-        return frame.groupBy(*map(quoted, by)).agg(*(F.sum(c).alias(c) for c in sums))
-
-    def running(frame: DataFrame, partition: list[str], order: list[str], inclusive: bool = False) -> dict:
-        window = _before(partition, order, inclusive)
-        return {c: F.coalesce(F.sum(c).over(window), F.lit(0)) for c in sums}
-
-    cells = totals(source, cell)
-    days = totals(cells, day)
-    # Totals of the days before, one row per day of a key.
-    days = days.withColumns(running(days, keys, ["_coarse"]))
-    # They enter the cells of their day as a first row, which makes the sum start from them.
-    first = F.lit(0).alias("_rank")
-    cells = cells.withColumn("_rank", F.lit(1)).unionByName(days.select("*", first), allowMissingColumns=True)
-    cells = cells.withColumns(running(cells, day, ["_rank", "_fine", "_salt"])).filter("_rank = 1").drop("_rank")
-    # The cell totals enter the rows of their cell in the same way.
-    payload = rows.withColumn("_rank", F.lit(1))
-    joined = payload.unionByName(cells.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
-    window = _before(cell, ["_rank", "_tie"], spec.inclusive)
-    outputs = {name: F.sum(f"_m_{name}").over(window) for name in spec.names}
-    return joined.withColumns(outputs).filter("_rank = 1").drop("_rank")
+        return frame.groupBy(*by).agg(*(F.sum(c).alias(c) for c in sums), F.count(F.lit(1)).alias("_rows"))
+
+    def starting(frame: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+        window = _before(partition, order)
+        return frame.withColumns({c: F.coalesce(F.sum(c).over(window), F.lit(0)) for c in sums})
+
+    sizes = totals(rows, bucket)
+    days = starting(sizes, keys, ["_coarse"])
+    # Large buckets are fewer than rows / hot_rows, which bounds what is broadcast: at most 100,000 entries
+    # for a trillion rows. Mostly there are none, and the branches that depend on them vanish at run time.
+    hot = F.broadcast(sizes.filter(F.col("_rows") > hot_rows).select(*bucket, F.lit(True).alias("_hot")))
+    cut = {"_part_fine": F.col("_fine"), "_part_tie": F.substring("_tie", 1, tie_digits)}
+    marked = null_safe_join(rows, hot, bucket).withColumns({name: F.when(F.col("_hot"), c) for name, c in cut.items()})
+    cells = totals(null_safe_join(rows, hot, bucket, "inner").withColumns(cut), [*bucket, *part])
+    # The total before a bucket enters its cells as a first row, which makes their sum start from it; the
+    # total before a cell, or before a bucket that is not split, enters the rows in the same way.
+    opening = days.filter(F.col("_rows") > hot_rows).withColumn("_rank", F.lit(0))
+    cells = cells.withColumn("_rank", F.lit(1)).unionByName(opening, allowMissingColumns=True)
+    cells = starting(cells, bucket, ["_rank", *part]).filter("_rank = 1")
+    starts = days.filter(F.col("_rows") <= hot_rows).withColumns({name: F.lit(None) for name in part})
+    starts = cells.select(*bucket, *part, *sums).unionByName(starts.select(*bucket, *part, *sums))
+    line = marked.withColumn("_rank", F.lit(1)).unionByName(starts.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
+    window = _before([*bucket, *part], ["_rank", "_fine", "_tie"], inclusive)
+    found = line.withColumns({name: F.sum(f"_m_{name}").over(window) for name in names})
+    return found.filter("_rank = 1").drop("_rank", "_hot", *part)
 
 
 def quantile_splitters(df: DataFrame, column: str, parts: int = 64) -> list[float]:

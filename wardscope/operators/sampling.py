@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,19 @@ def best_model(results: DataFrame, model: str = "model", error: str = "MAE") ->
     return rounded.agg(F.min_by(model, F.struct(error, model)).alias(model), F.min(error).alias(error))
 
 
-def stable_sample(df: DataFrame, ids: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows with the smallest seeded hash of their ids. Each task keeps its ``n`` candidates."""
-    return df.orderBy(seeded_hash(seed, *map(quoted, ids)), *map(quoted, ids)).limit(n)
+def stable_sample(df: DataFrame, ids: Sequence[str], n: int, seed: int = 42, digits: int = 4) -> DataFrame:
+    """``n`` rows with the smallest seeded hash of their ids.
+
+    Rows are counted per leading digits of the hash, which tells the digits up to which the sample reaches.
+    Only rows up to there, the sample and a sliver more, are ordered.
+    """
+    hashed = df.withColumn("_hash", seeded_hash(seed, *map(quoted, ids)))
+    prefix = F.substring("_hash", 1, digits)
+    sizes = hashed.groupBy(prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    reach = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).filter(F.col("_before") < n)
+    kept = hashed.filter(prefix <= reach.agg(F.max("_prefix").alias("_reach")).scalar())
+    return kept.orderBy("_hash", *map(quoted, ids)).limit(n).drop("_hash")
 
 
 def union_categories(train: DataFrame, test: DataFrame, column: str, missing: str = "_NA_") -> DataFrame:
@@ -84,13 +94,12 @@ def choose_split_date(df: DataFrame, day: str, given: object = None, fraction: f
     return found
 
 
-def _label_positions(df: DataFrame, label: str, ids: Sequence[str], seed: int, out: str, digits: int = 3) -> DataFrame:
+def _label_positions(df: DataFrame, label: str, ids: Sequence[str], seed: int, out: str, digits: int = 4) -> DataFrame:
     """Position of a row among the rows of its label in hash order. The first digits of the hash spread a
     frequent label over many tasks."""
     hashed = seeded_hash(seed, *map(quoted, ids))
     spec = PriorTotals([label], {out: F.lit(1)})
-    return prior_totals(df, [spec], F.substring(hashed, 1, digits), F.substring(hashed, 1, digits + 2), hashed,
-                        tie_digits=digits + 3)
+    return prior_totals(df, [spec], F.substring(hashed, 1, digits), hashed, hashed)
 
 
 def stratified_split(df: DataFrame, label: str, ids: Sequence[str], fraction: float = 0.2, seed: int = 42,

@@ -14,27 +14,27 @@ from pyspark.sql import functions as F
 
 from wardscope.functions.calendar import epoch_seconds
 from wardscope.operators.joins import null_safe_join
-from wardscope.operators.prefix import PriorTotals, prior_totals, sorted_codes, tie_hash
+from wardscope.operators.prefix import HOT_ROWS, PriorTotals, prior_totals, sorted_codes, tie_hash
 from wardscope.schema import quoted
 
 DAY = 86_400
 
 
-def _by_time(df: DataFrame, specs: Sequence[PriorTotals], ts: str, tie: Sequence[str], tie_digits: int) -> DataFrame:
+def _by_time(df: DataFrame, specs: Sequence[PriorTotals], ts: str, tie: Sequence[str], hot_rows: int) -> DataFrame:
     seconds = epoch_seconds(df, ts)
-    return prior_totals(df, specs, F.floor(seconds / DAY), seconds, tie_hash([quoted(c) for c in tie]), tie_digits)
+    return prior_totals(df, specs, F.floor(seconds / DAY), seconds, tie_hash([quoted(c) for c in tie]), hot_rows)
 
 
 def prior_counts(df: DataFrame, ts: str, tie: Sequence[str], counts: dict[str, Sequence[str]],
-                 tie_digits: int = 2) -> DataFrame:
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per output name, the number of earlier rows with the same keys. Rows of one second are ordered by a
     hash of the ``tie`` columns."""
     specs = [PriorTotals(keys, {name: F.lit(1)}) for name, keys in counts.items()]
-    return _by_time(df, specs, ts, tie, tie_digits)
+    return _by_time(df, specs, ts, tie, hot_rows)
 
 
 def prior_history(df: DataFrame, ts: str, tie: Sequence[str], counts: dict[str, Sequence[str]],
-                  rates: dict[str, tuple[Sequence[str], str]], tie_digits: int = 2) -> DataFrame:
+                  rates: dict[str, tuple[Sequence[str], str]], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Prior counts and prior rates in one go.
 
     A rate is 100 times the mean of a 0/1 flag over the earlier rows of its keys, rounded to two places,
@@ -48,16 +48,16 @@ def prior_history(df: DataFrame, ts: str, tie: Sequence[str], counts: dict[str,
         measures[f"_hits_{name}"] = F.col(flag)
         measures[f"_seen_{name}"] = F.col(flag).isNotNull().cast("int")
     specs = [PriorTotals(keys, measures) for keys, measures in by_keys.items()]
-    found = _by_time(df, specs, ts, tie, tie_digits)
+    found = _by_time(df, specs, ts, tie, hot_rows)
     percent = {name: F.round(F.try_divide(F.col(f"_hits_{name}"), F.col(f"_seen_{name}")) * 100.0, 2) for name in rates}
     helpers = [f"{prefix}{name}" for name in rates for prefix in ("_hits_", "_seen_")]
     return found.withColumns(percent).drop(*helpers) if rates else found
 
 
 def prior_rates(df: DataFrame, ts: str, tie: Sequence[str], rates: dict[str, tuple[Sequence[str], str]],
-                tie_digits: int = 2) -> DataFrame:
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Only the rates of :func:`prior_history`."""
-    return prior_history(df, ts, tie, {}, rates, tie_digits)
+    return prior_history(df, ts, tie, {}, rates, hot_rows)
 
 
 def prior_density(df: DataFrame, ts: str, tie: Sequence[str], category: str, part: str, out: str) -> DataFrame:
@@ -69,19 +69,28 @@ def prior_density(df: DataFrame, ts: str, tie: Sequence[str], category: str, par
 def rolling_range_count(df: DataFrame, keys: Sequence[str], ts: str, out: str, span: int = 7 * DAY) -> DataFrame:
     """Number of rows of the same keys in the ``span`` seconds before a row, its own second left out.
 
-    Rows are first counted per key and second. A second is then placed in its own block of ``span`` seconds
-    and, as history, in the next one; a window inside a block sees everything it needs. A block never holds
-    more than two spans of seconds, so a busy key is spread over as many tasks as it has blocks.
+    It is the number of rows before the second less the number before the start of the span. Rows are counted
+    per key and second first; each second then asks for both numbers with two marks on the time line. Running
+    totals go over the days of a key and then over the marks of a day, so a busy key is spread over its days
+    and the cost does not depend on how many rows a span holds, as it would with a sliding window.
     """
     timed = df.withColumn("_second", epoch_seconds(df, ts))
     seconds = timed.groupBy(*map(quoted, keys), "_second").agg(F.count(F.lit(1)).alias("_n"))
-    block = F.floor(F.col("_second") / span)
-    placed = seconds.select("*", F.explode(F.array(
-        F.struct(block.alias("block"), F.lit(True).alias("own")),
-        F.struct((block + 1).alias("block"), F.lit(False).alias("own")))).alias("_at"))
-    window = Window.partitionBy(*map(quoted, keys), "_at.block").orderBy("_second").rangeBetween(-span, -1)
-    counted = placed.withColumn(out, F.coalesce(F.sum("_n").over(window), F.lit(0))).filter("_at.own")
-    return null_safe_join(timed, counted.select(*map(quoted, keys), "_second", out), [*keys, "_second"]).drop("_second")
+    # A start mark adds nothing and comes before the rows of its own second.
+    marks = seconds.select(*map(quoted, keys), "_second", F.explode(F.array(
+        F.struct(F.col("_second").alias("at"), F.lit(1).alias("sign"), F.col("_n").alias("n")),
+        F.struct((F.col("_second") - span).alias("at"), F.lit(-1).alias("sign"), F.lit(0).cast("long").alias("n")),
+    )).alias("_mark")).select(*map(quoted, keys), "_second", "_mark.*").withColumn("_day", F.floor(F.col("at") / DAY))
+    by_day = [*map(quoted, keys), F.col("_day")]
+    past = (Window.unboundedPreceding, -1)
+    days = marks.groupBy(*by_day).agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*map(quoted, keys)).orderBy("_day").rowsBetween(*past))
+    days = days.withColumn("n", F.coalesce(before, F.lit(0)))
+    line = marks.unionByName(days, allowMissingColumns=True)
+    order = Window.partitionBy(*by_day).orderBy(F.col("at").asc_nulls_first(), "sign").rowsBetween(*past)
+    counted = line.withColumn("_before", F.sum("n").over(order)).filter(F.col("sign").isNotNull())
+    counted = counted.groupBy(*map(quoted, keys), "_second").agg(F.sum(F.col("sign") * F.col("_before")).alias(out))
+    return null_safe_join(timed, counted, [*keys, "_second"]).drop("_second")
 
 
 def lag_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, steps: dict[str, int]) -> DataFrame:

@@ -12,7 +12,7 @@ from wardscope.functions.cleaning import dedup, fill_nulls
 from wardscope.operators import aggregates, windows
 from wardscope.operators.joins import join_back, scaled_bins
 from wardscope.operators.prefix import tie_hash
-from wardscope.schema import require
+from wardscope.schema import quoted, require
 
 REQUIRED = ("Beat", "Date_TS", "CrimeType", "Hour", "Arrest_Flag", "Year", "Month", "Lat_Bin", "Lng_Bin")
 CELL = ["Beat", "Date_Only", "Lat_Bin_Key", "Lng_Bin_Key"]
@@ -49,9 +49,13 @@ def stage2(df: DataFrame, row_id: str | None = None, distinct: bool = True, per_
     require(df, REQUIRED)
     base = dedup(df) if distinct else df
     rows = scaled_bins(time_keys(base, "Date_TS"), ["Lat_Bin", "Lng_Bin"])
-    tie: Sequence[str] = [row_id] if row_id else df.columns
-    out = windows.rolling_range_count(rows, ["Beat"], "Date_TS", "Crime_Count_Last7Days")
-    out = windows.prior_density(out, "Date_TS", tie, "CrimeType", "Hour", "CrimeType_Hour_Density")
+    rows = rows.withColumn("_row", tie_hash([quoted(c) for c in df.columns]))
+    tie: Sequence[str] = [row_id] if row_id else ["_row"]
+    # The history features are computed on the few columns they need and joined to the records once.
+    slim = rows.select(*dict.fromkeys(["_row", *tie, "Date_TS", "Beat", "CrimeType", "Hour"]))
+    slim = windows.rolling_range_count(slim, ["Beat"], "Date_TS", "Crime_Count_Last7Days")
+    slim = windows.prior_density(slim, "Date_TS", tie, "CrimeType", "Hour", "CrimeType_Hour_Density")
+    out = rows.join(slim.select("_row", "Crime_Count_Last7Days", "CrimeType_Hour_Density"), "_row").drop("_row")
     # The small tables are computed from the records before the window columns, which they do not need.
     out = join_back(out, monthly_features(rows), ["Beat", "YearMonthDate"])
     out = join_back(out, daily_cell_features(rows, per_cell), CELL).drop(*CELL[2:])
