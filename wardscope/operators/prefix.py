@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,7 +106,10 @@ def _add_totals(rows: DataFrame, keys: list[str], names: Sequence[str], inclusiv
     days = starting(sizes, keys, ["_coarse"])
     # Large buckets are fewer than rows / hot_rows, which bounds what is broadcast: at most 100,000 entries
     # for a trillion rows. Mostly there are none, and the branches that depend on them vanish at run time.
-    hot = F.broadcast(sizes.filter(F.col("_rows") > hot_rows).select(*bucket, F.lit(True).alias("_hot")))
+    # Naming the sums, which are never null, keeps this the same aggregate as the one behind the days, so
+    # that both read one shuffle.
+    known = reduce(Column.__and__, (F.col(c).isNotNull() for c in sums))
+    hot = F.broadcast(sizes.filter((F.col("_rows") > hot_rows) & known).select(*bucket, F.lit(True).alias("_hot")))
     cut = {"_part_fine": F.col("_fine"), "_part_tie": F.substring("_tie", 1, tie_digits)}
     marked = null_safe_join(rows, hot, bucket).withColumns({name: F.when(F.col("_hot"), c) for name, c in cut.items()})
     cells = totals(null_safe_join(rows, hot, bucket, "inner").withColumns(cut), [*bucket, *part])
