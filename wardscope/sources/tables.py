@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,27 +32,25 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return table.select(*columns) if columns else table
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str], counted: bool) -> int | None:
-    seen = Observation()
-    rows = df.observe(seen, F.count(F.lit(1)).alias("rows")) if counted else df
-    writer = rows.write.mode("overwrite").option("compression", "snappy")
+def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+    """Write and return the row count, which is read from the footers of the files: the plan runs once."""
+    writer = df.write.mode("overwrite").option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return seen.get["rows"] if counted else None
+    return df.sparkSession.read.parquet(path).count()
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("Year", "Month")) -> int:
     """Write a Hive-partitioned Parquet folder and return the row count.
 
     The rebalance hint brings the rows of a folder together, so that not every task writes a small file
-    into every folder, while a month that is too large for one task is split again at run time. The
-    count is observed during the write; the plan does not run a second time for it.
+    into every folder, while a month that is too large for one task is split again at run time.
     """
-    return _write(df.hint("rebalance", *partition_by), path, partition_by, True)
+    return _write(df.hint("rebalance", *partition_by), path, partition_by)
 
 
 def write_parquet(df: DataFrame, path: str) -> int:
     """Write a flat Parquet folder with as many files as the plan has partitions; returns the row count."""
-    return _write(df, path, (), True)
+    return _write(df, path, ())
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
