@@ -81,7 +81,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     rows = t.incidents.select("id", "lat", "lng")
     dense = rows.count() / 40.0
-    return spatial.spatial_clusters(rows, ["id"], "lat", "lng", 10 ** 9, 0.25, dense).select("id", "Spatial_Cluster")
+    return spatial.spatial_clusters(rows, ["id"], "lat", "lng", None, 0.25, dense).select("id", "Spatial_Cluster")
 
 
 @query("m5a_random_walks", sql(

@@ -116,15 +116,15 @@ def mode_by(df: DataFrame, key: str, column: str, default: object = 0) -> DataFr
 
 
 def first_by(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First non-null value of each column per key in the order of the given columns."""
+    """First non-null value of each column per key in the order of the given columns, the least one on ties."""
     return df.groupBy(key).agg(*(
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in columns))
+        F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))).alias(c) for c in columns))
 
 
 def last_by(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Last non-null value of each column per key in the order of the given columns."""
+    """Last non-null value of each column per key in the order of the given columns, the greatest one on ties."""
     return df.groupBy(key).agg(*(
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in columns))
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))).alias(c) for c in columns))
 
 
 def hardness_weights(train: DataFrame, key: str, count: str, rolling: str, gamma: float = 1.0) -> DataFrame:

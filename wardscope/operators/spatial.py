@@ -170,16 +170,16 @@ def _all_before(order: str) -> WindowSpec:
 
 
 def spatial_clusters(df: DataFrame, ids: Sequence[str], lat: str = "Latitude", lng: str = "Longitude",
-                     sample_n: int = 30_000, eps: float = 0.15, min_samples: int = 20, seed: int = 42,
+                     sample_n: int | None = 30_000, eps: float = 0.15, min_samples: int = 20, seed: int = 42,
                      out: str = "Spatial_Cluster") -> DataFrame:
     """Cluster a repeatable sample of the located rows on standardized coordinates; all other rows get −1.
 
-    Rows at the same place become one weighted point before any distance is computed.
+    ``sample_n=None`` takes all located rows. Rows at the same place become one weighted point before any distance is computed.
     """
     if not {lat, lng} <= set(df.columns):
         return df.withColumn(out, F.lit(-1))
     located = df.select(*ids, lat, lng).filter(F.col(lat).isNotNull() & F.col(lng).isNotNull())
-    sample = cut_lineage(stable_sample(located, ids, sample_n, seed))
+    sample = cut_lineage(located if sample_n is None else stable_sample(located, ids, sample_n, seed))
     if sample.isEmpty():
         return df.withColumn(out, F.lit(-1))
     scaled = standardize(sample, [lat, lng], "_scaled")
