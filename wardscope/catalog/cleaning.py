@@ -194,12 +194,16 @@ def _(t: Tables) -> DataFrame:
     return cleaning.to_number_or_zero(t.incidents.select("id", text.alias("number")), ["number"])
 
 
-@query("p24_narrow_types", """SELECT event_id, user_id, cast(value AS float) AS value, event_type,
-    'event_type' AS categorical FROM events""")
+_FITS = "CASE WHEN max({0}) OVER () < 128 THEN 'tinyint' WHEN max({0}) OVER () < 32768 THEN 'smallint' ELSE 'int' END AS {0}_type"
+
+
+@query("p24_narrow_types", f"""SELECT event_id, user_id, cast(value AS float) AS value, event_type, {_FITS.format('event_id')},
+    {_FITS.format('user_id')}, 'float' AS value_type, 'event_type' AS categorical FROM events""")
 def _(t: Tables) -> DataFrame:
-    rows = t.table("events").select("event_id", "user_id", "value", "event_type")
-    narrowed, texts = numeric.narrow_types(rows)
-    return narrowed.withColumn("categorical", F.lit(",".join(texts)))
+    narrowed, texts = numeric.narrow_types(t.table("events").select("event_id", "user_id", "value", "event_type"))
+    kinds = {f"{name}_type": F.typeof(name) for name in ("event_id", "user_id", "value")}
+    wide = {name: F.col(name).cast("bigint") for name in ("event_id", "user_id")}
+    return narrowed.withColumns(kinds).withColumns(wide).withColumn("categorical", F.lit(",".join(texts)))
 
 
 @query("p25_drop_leakage", sql("SELECT id, ts, beat, kind FROM lng_inc", "lng_inc"))
