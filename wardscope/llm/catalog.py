@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardscope.llm import quality
+from wardscope.llm import quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,8 @@ FROM f LEFT JOIN v USING (source)""")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return quality.quality_rules(docs, carry=["doc_id"]).drop("host_rate")
+
+
+@query("op9_simhash_groups")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
