@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardscope.llm import quality, simhash
+from wardscope.llm import quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_simhash_groups")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op7_substring_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
