@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardscope.llm import quality, simhash, substrings
+from wardscope.llm import decontaminate, quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_substring_dedup")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op10_benchmark_decontamination")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, folder, "benchmark")).drop("text")

@@ -9,9 +9,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, ShortType
 
-from wardscope.llm.common import apply_arrow, free_name, map_arrow, materialise, with_struct
+from wardscope.llm.common import apply_arrow, free_name, map_arrow, materialise, with_row, with_struct
 
 GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 1 << 32, 256, dtype=np.uint32)
 _BLANK = np.zeros(256, dtype=bool)
@@ -73,16 +72,6 @@ def windows(text: str | None, min_words: int = 20, radius: int = 2) -> tuple[lis
     return digests, starts[a], np.append(starts, len(raw))[b]
 
 
-def with_row(docs: DataFrame, doc_id: str) -> tuple[DataFrame, str]:
-    """``docs`` with a column that tells rows apart and orders them: the ids if they can do that, else a stored number."""
-    if isinstance(docs.schema[doc_id].dataType, (LongType, IntegerType, ShortType)):
-        rows, ids = docs.agg(F.count(F.lit(1)), F.countDistinct(doc_id)).first()
-        if rows == ids:
-            return docs, doc_id
-    name = free_name(docs, "row")
-    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
-
-
 def cut_out(text: str | None, spans: list[dict] | None) -> tuple[str | None, int, bool]:
     """Text without its repeated windows, removed characters, and whether it shares a window.
 
