@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardscope.llm import decontaminate, quality, simhash, substrings
+from wardscope.llm import decontaminate, packing, quality, simhash, substrings
 
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,6 +22,13 @@ def query(name: str, statement: str | None = None) -> Callable:
     return register
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -64,3 +72,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, table(spark, folder, "benchmark")).drop("text")
+
+
+@query("op1_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), tokenizer(BYTE_BPE))

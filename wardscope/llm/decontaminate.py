@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ class Forms:
         """Codes, kinds and bare words of a text; words of mere punctuation are left out."""
         if len(self.number) > self.limit:
             self.__init__(self.limit)
-        for w in set(words) - self.number.keys():
+        for w in filterfalse(self.number.__contains__, set(words)):
             self.add(w)
         at = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
         codes, flags = self.codes[at], self.flags[at]
