@@ -26,6 +26,9 @@ _MEASURE = re.compile(r"\d[\d.,]*([^\W\d_]+)$")
 _ENDS = (".", "!", "?", ":")
 _BIT_MASK = (1 << 22) - 1
 _FACTOR = 0x9E3779B97F4A7C15
+_IS_UNIT, _ENDED = 1 << 1, 1 << 3
+#: Kind by the marks of a word (number, unit, title, ends a sentence, measure); names at the start of a sentence are undone later.
+_KINDS = np.array([MEASURE if m & 16 else NUMBER if m & 1 else NAME if m & 4 else WORD for m in range(32)], dtype=np.uint8)
 
 
 class Forms:
@@ -49,42 +52,48 @@ class Forms:
         self.bare.append(bare)
         return at
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Codes, kinds and bare words of a text; words of mere punctuation are left out."""
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes, kinds and numbers of the words of a text; words of mere punctuation are left out."""
         if len(self.number) > self.limit:
             self.__init__(self.limit)
         for w in filterfalse(self.number.__contains__, set(words)):
             self.add(w)
         at = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
         codes, flags = self.codes[at], self.flags[at]
-        number, unit, title, ends, measure = (flags & (1 << k) != 0 for k in range(5))
-        starts = np.concatenate(([True], ends[:-1]))[:len(words)]
-        kinds = np.where(measure, MEASURE, np.where(number, NUMBER, np.where(title & ~starts, NAME, WORD)))
-        kept = np.flatnonzero(codes)
-        codes, kinds = codes[kept], kinds[kept]
-        after = np.concatenate(([False], kinds[:-1] == NUMBER))[:len(kinds)]
-        kinds[after & unit[kept]] = UNIT
-        codes[kinds != WORD] = kinds[kinds != WORD]
-        return codes, kinds, [self.bare[k] for k in at[kept].tolist()]
-
-
-def template_hashes(codes: np.ndarray, kinds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every window of ``width`` tokens, and whether at least half of it is words rather than slots."""
+        kinds = _KINDS[flags]
+        kinds[1:][(kinds[1:] == NAME) & (flags[:-1] & _ENDED != 0)] = WORD
+        kinds[:1][kinds[:1] == NAME] = WORD
+        if not codes.all():
+            kept = np.flatnonzero(codes)
+            codes, kinds, flags, at = codes[kept], kinds[kept], flags[kept], at[kept]
+        slot = kinds != WORD
+        if slot.any():
+            kinds[1:][(kinds[:-1] == NUMBER) & (flags[1:] & _IS_UNIT != 0)] = UNIT
+            slot = kinds != WORD
+            codes[slot] = kinds[slot]
+        return codes, kinds, at
+
+
+def template_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    """Polynomial hash of every window of ``width`` tokens, put together from windows of powers of two."""
     n = len(codes) - width + 1
     if n < 1:
-        return codes[:0], kinds[:0] > 0
-    value = np.zeros(n, dtype=np.uint64)
-    words = np.zeros(n, dtype=np.int64)
-    for k in range(width):
-        value = value * np.uint64(_FACTOR) + codes[k:k + n]
-        words += kinds[k:k + n] == WORD
-    value ^= value >> np.uint64(31)
-    return value * np.uint64(_FACTOR | 2), 2 * words >= width
-
-
-def slots(kinds: np.ndarray, bare: list[str], at: int, width: int) -> list[str]:
+        return codes[:0]
+    value, done, part, size = np.zeros(n, dtype=np.uint64), 0, codes, 1
+    while True:
+        if width & size:
+            value = value * np.uint64(pow(_FACTOR, size, 1 << 64)) + part[done:done + n]
+            done += size
+        if done == width:
+            break
+        part = part[:-size] * np.uint64(pow(_FACTOR, size, 1 << 64)) + part[size:]
+        size *= 2
+    return (value ^ value >> np.uint64(31)) * np.uint64(_FACTOR)
+
+
+def slots(kinds: np.ndarray, bare: list[str], at: np.ndarray, start: int, width: int) -> list[str]:
     """Type and value of the slots of a window, in order."""
-    return [f"{kinds[k]}{bare[k].lower()}" for k in range(at, at + width) if kinds[k] != WORD]
+    return [f"{kinds[k]}{bare[at[k]].lower()}" for k in range(start, start + width) if kinds[k] != WORD]
 
 
 def pattern(values: Iterable[str]) -> str:
@@ -104,16 +113,15 @@ def template_windows(rows: DataFrame, widths: list[int], allowed: np.ndarray | N
         for batch in batches:
             out: list[tuple] = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                codes, kinds, bare = forms.of((text.as_py() or "").split())
+                codes, kinds, at = forms.of((text.as_py() or "").split())
                 n = len(codes)
                 for width in (widths if n >= whole_below else [n] if n >= max(least, 1) else []):
-                    hashes, plain = template_hashes(codes, kinds, width)
-                    if allowed is not None:
-                        bit = (hashes & np.uint64(_BIT_MASK)).astype(np.int64)
-                        plain &= (allowed[bit >> 3] >> (bit & 7) & 1).astype(bool)
-                    for at in np.flatnonzero(plain).tolist():
-                        values = slots(kinds, bare, at, width)
-                        out.append((row, at, width, int(hashes[at].astype(np.int64)), values, pattern(values), n))
+                    hashes = template_hashes(codes, width)
+                    starts = np.arange(len(hashes)) if allowed is None else np.flatnonzero(allowed[(hashes & np.uint64(_BIT_MASK)).astype(np.int64)])
+                    for start in starts.tolist():
+                        values = slots(kinds, forms.bare, at, start, width)
+                        if 2 * len(values) <= width:  # at least half of it is words
+                            out.append((row, start, width, int(hashes[start].astype(np.int64)), values, pattern(values), n))
                 if len(out) > 20_000:
                     yield batch_of(out)
                     out = []
@@ -130,13 +138,13 @@ def template_windows(rows: DataFrame, widths: list[int], allowed: np.ndarray | N
 
 
 def bit_map(windows: DataFrame) -> np.ndarray:
-    """Half a megabyte, whatever the number of windows, with a bit for each hash; it only thins out what is joined."""
+    """Four megabytes, whatever the number of windows, that tell which ends of hashes occur; it only thins out what is joined."""
     bit = F.col("hash").bitwiseAND(F.lit(_BIT_MASK))
     words = windows.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((hash & {_BIT_MASK}) & 63 AS int))")).alias("bits"))
     made = np.zeros((_BIT_MASK + 1) // 64, dtype="<u8")
     for word, bits in words.collect():
         made[word] = bits % (1 << 64)
-    return made.view(np.uint8)
+    return np.unpackbits(made.view(np.uint8), bitorder="little").view(bool)
 
 
 def judge(hits: list[dict]) -> tuple[int, int | None]:
