@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardscope.llm import decontaminate, packing, quality, simhash, substrings
+from wardscope.llm import decontaminate, packing, quality, simhash, substrings, tokenfiles, warc
+from wardscope.llm.common import shared_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,17 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_packing")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), tokenizer(BYTE_BPE))
+
+
+@query("op3_warc_bundles")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    tokenfiles.write_ids(table(spark, folder, "documents").select("doc_id", "text"), path, tokenizer(WORD_BPE))
+    return tokenfiles.read_ids(spark, path)
