@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardscope.llm import decontaminate, packing, quality, simhash, substrings, tokenfiles, warc
+from wardscope.llm import decontaminate, langid, packing, quality, simhash, substrings, tokencounts, tokenfiles, warc
 from wardscope.llm.common import shared_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -92,3 +92,13 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
     tokenfiles.write_ids(table(spark, folder, "documents").select("doc_id", "text"), path, tokenizer(WORD_BPE))
     return tokenfiles.read_ids(spark, path)
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op8_token_counts")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.section_tokens(table(spark, folder, "documents").select("doc_id", "text"), tokenizer(BYTE_BPE))

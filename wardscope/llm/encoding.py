@@ -39,6 +39,7 @@ class Encoder:
                         and [p["type"] for p in parts] == ["Split", "ByteLevel"] and parts[0]["behavior"] == "Removed" and parts[0]["invert"]
                         and r"[^\s\p{L}\p{N}]+" in parts[0]["pattern"].get("Regex", "") and model.get("end_of_word_suffix") == "</w>"
                         and not model.get("dropout"))
+        self.marks = {m: ids.tobytes() for m, ids in zip(",.", self._whole([",", "."]))}
         names = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda item: item[1])
         self.sizes = np.zeros(names[-1][1] + 1, dtype=np.int64)  # bytes of a token; byte-level tokens have a character for each
         self.closes = np.zeros(names[-1][1] + 1, dtype=bool)
@@ -66,6 +67,9 @@ class Encoder:
         back = set(filter(self.old.__contains__, missing))
         self.young.update((w, self.old[w]) for w in back)
         new, alone = list(missing - back), []
+        ended = [w for w in new if w[-1:] in self.marks and "a" <= w[-2:-1].lower() < "\u0250" and w[-2:-1].isalpha()]
+        stems = {w[:-1] for w in ended}  # a comma or full stop after a Latin letter is a token of its own
+        new = [w for w in set(new).difference(ended) | stems if w not in self.young]
         if self.by_space:
             odd = [w for w in new if w[:1].isspace() and w[:1] != "\n" or w.split() != [w.removeprefix("\n")]]
             self.young.update(dict.fromkeys(odd))  # other white space: what holds such a word is encoded whole
@@ -92,6 +96,9 @@ class Encoder:
         if alone:
             texts = [w if self.by_word or w[0] == "\n" else " " + w for w in alone]
             self.young.update((w, ids.tobytes()) for w, ids in zip(alone, self._whole(texts)))
+        for w in ended:
+            stem = self.young[w[:-1]]
+            self.young[w] = None if stem is None else stem + self.marks[w[-1]]
 
     def _of_words(self, words: list[str] | None) -> np.ndarray | None:
         try:
