@@ -67,7 +67,7 @@ class Encoder:
         back = set(filter(self.old.__contains__, missing))
         self.young.update((w, self.old[w]) for w in back)
         new, alone = list(missing - back), []
-        ended = [w for w in new if w[-1:] in self.marks and "a" <= w[-2:-1].lower() < "\u0250" and w[-2:-1].isalpha()]
+        ended = [w for w in new if w[-1:] in self.marks and "A" <= w[-2:-1] < "\u0250" and w[-2].isalpha() and len(w[-2].lower()) == 1]
         stems = {w[:-1] for w in ended}  # a comma or full stop after a Latin letter is a token of its own
         new = [w for w in set(new).difference(ended) | stems if w not in self.young]
         if self.by_space:
