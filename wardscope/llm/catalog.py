@@ -107,8 +107,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 # The pages of the test tables hold their text in one article of headings and paragraphs, which plain SQL can cut out.
 @query("op5_main_text", r"""
 WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
-b AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(body, '</?(?:h1|p)>'), lambda x: trim(regexp_replace(replace(replace(replace(
-    replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM a)
+b AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(body, '</?(?:h1|p)>'), lambda x: trim(regexp_replace(regexp_replace(replace(replace(
+    regexp_replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM a)
 SELECT page_id, url, coalesce(array_to_string(parts, chr(10)), '') AS text, cast(length(coalesce(array_to_string(parts, chr(10)), '')) AS bigint) AS n_chars FROM b""")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
