@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,11 +88,11 @@ def test_stage3(tables):
 
 @pytest.fixture(scope="module")
 def forecast_run(tables):
-    return count_forecast(stage2_input(tables), year_min=1996, rounds=3, quantile_rounds=2, days=2, split_date="2000-06-01")
+    return count_forecast(stage2_input(tables), year_min=1995, rounds=3, quantile_rounds=2, days=2, split_date="2000-06-01")
 
 
 def test_count_forecast(forecast_run, tmp_path):
-    assert forecast_run.best in forecast_run.models and forecast_run.leaderboard.count() == 6
+    assert forecast_run.best in forecast_run.models and forecast_run.leaderboard.count() == 8
     assert forecast_run.forecast.groupBy("Beat").count().filter("count <> 2").isEmpty()
     assert forecast_run.predictions.filter("q_low > q_hi or y_pred_int < 0").isEmpty()
     assert forecast_run.per_beat.agg(F.sum("N")).first()[0] == forecast_run.predictions.count()
@@ -110,13 +112,13 @@ def test_dense_series_has_zeros(tables):
 
 
 def test_hotspots(tables, tmp_path):
-    run = hotspots(stage2(stage2_input(tables), "ID"), ids=["ID"], year_min=1996)
+    run = hotspots(stage2(stage2_input(tables), "ID"), ids=["ID"], year_min=1995)
     report = {r.metric: r for r in run.report.collect()}
     assert report["macro avg"].support > 100 and 0 <= run.threshold <= 1
     assert 0 <= run.metrics.first().roc_auc <= 1
     assert "Hour_hop2" in run.features and run.table.filter("prob_hotspot is null").isEmpty()
     run.write(str(tmp_path / "hot"))
-    plain = hotspots(stage2_input(tables), ids=["ID"], year_min=1996, neighbours=False, kind="perceptron", hidden=4)
+    plain = hotspots(stage2_input(tables), ids=["ID"], year_min=1995, neighbours=False, kind="perceptron", hidden=4)
     assert plain.features == ["Hour", "Month"]
 
 
@@ -128,3 +130,11 @@ def test_type_classifier(tables, tmp_path):
     assert metrics.overall_accuracy > 0.3 and run.auc.count() == 5
     assert run.predictions.count() == clean.filter("Date_TS >= '2024-01-22'").count()
     run.write(str(tmp_path / "types"))
+
+
+def test_history_features_keep_equal_records_apart(spark):
+    row = (dt.datetime(2024, 3, 1, 5), "0001", "THEFT", 5, 1, 2024, 3, 41.6, -87.9)
+    names = "Date_TS timestamp, Beat string, CrimeType string, Hour int, Arrest_Flag int, Year int, Month int, Lat_Bin double, Lng_Bin double"
+    frame = spark.createDataFrame([row, row, (dt.datetime(2024, 3, 2, 5), *row[1:])], names)
+    assert stage2(frame, distinct=False).count() == 3
+    assert stage2(frame).count() == 2

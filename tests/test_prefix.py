@@ -133,3 +133,10 @@ def test_sample_and_splits(spark):
     assert {tuple(r) for r in split.filter("is_test").groupBy("label").count().collect()} == {(0, 360), (1, 40)}
     folds = stratified_folds(df, "label", ["id"], 3).groupBy("label", "fold").count().collect()
     assert sorted(r[2] for r in folds) == [66, 67, 67, 600, 600, 600]
+
+
+def test_equal_rows_keep_totals_of_their_own_with_several_key_sets(spark):
+    rows = [(DAY0, "a", "x", 1)] * 3 + [(DAY0 + dt.timedelta(hours=1), "a", "y", 0)]
+    df = spark.createDataFrame(rows, "ts timestamp, key string, kind string, flag int")
+    found = win.prior_history(df, "ts", ["kind"], {"n_key": ["key"], "n_kind": ["kind"]}, {"rate": (["key"], "flag")})
+    assert sorted((r.n_key, r.n_kind) for r in found.collect()) == [(0, 0), (1, 1), (2, 2), (3, 0)]

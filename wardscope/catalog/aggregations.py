@@ -71,15 +71,21 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("a6_category_mix", sql(
-    """+ mix AS (SELECT beat, count(*) AS total, count(*) FILTER (kind = 'CLICK') AS a, count(*) FILTER (kind = 'ERROR') AS b,
-    count(*) FILTER (kind = 'VIEW') AS c, count(*) FILTER (kind IN ('CLICK', 'ERROR', 'VIEW')) AS known FROM inc GROUP BY beat)
-    SELECT id, beat, a / known AS "CLICK", b / known AS "ERROR", c / known AS "VIEW" FROM inc JOIN mix USING (beat)""", "inc"))
+    """+ mix AS (SELECT beat, avg((kind = 'CLICK')::int) AS "CLICK", avg((kind = 'ERROR')::int) AS "ERROR", avg((kind = 'PURCHASE')::int) AS "PURCHASE",
+    avg((kind = 'SIGNUP')::int) AS "SIGNUP", avg((kind = 'VIEW')::int) AS "VIEW" FROM inc GROUP BY beat)
+    SELECT id, mix.* FROM inc JOIN mix USING (beat)""", "inc"))
 def _(t: Tables) -> DataFrame:
     rows = t.incidents
-    mix = agg.category_mix(rows, "beat", "kind", ["CLICK", "ERROR", "VIEW"])
+    mix = agg.category_mix(rows, "beat", "kind", agg.category_values(rows, "kind"))
     return rows.select("id", "beat").join(mix, "beat", "left")
 
 
+@query("a6_category_mix_unlisted", sql(
+    """SELECT beat, avg((kind = 'CLICK')::int) AS "CLICK", avg((kind = 'VIEW')::int) AS "VIEW" FROM inc GROUP BY beat""", "inc"))
+def _(t: Tables) -> DataFrame:
+    return agg.category_mix(t.incidents, "beat", "kind", ["CLICK", "VIEW"])
+
+
 @query("a7_hour_profile", sql(
     "SELECT beat, " + ", ".join(f"count(*) FILTER (hour(ts) = {h}) / count(*) AS h{h}" for h in range(24))
     + " FROM inc GROUP BY beat", "inc"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardscope.catalog.aggregations import PREDICTED, predictions
 from wardscope.catalog.base import Tables, query, rounded, sql
+from wardscope.operators.aggregates import category_values
 from wardscope.evaluation import classification as cls
 from wardscope.evaluation import regression as reg
 from wardscope.functions.numeric import order_bands
@@ -97,9 +98,11 @@ def _(t: Tables) -> DataFrame:
 
 @query("e6_confusion_matrix", sql(
     f"""+ {GUESSED} SELECT actual, count(*) FILTER (predicted = 'CLICK') AS "pred_CLICK", count(*) FILTER (predicted = 'ERROR') AS "pred_ERROR",
-    count(*) FILTER (predicted = 'VIEW') AS "pred_VIEW" FROM guessed WHERE actual IN ('CLICK', 'ERROR', 'VIEW') GROUP BY actual""", "inc"))
+    count(*) FILTER (predicted = 'PURCHASE') AS "pred_PURCHASE", count(*) FILTER (predicted = 'SIGNUP') AS "pred_SIGNUP",
+    count(*) FILTER (predicted = 'VIEW') AS "pred_VIEW" FROM guessed GROUP BY actual""", "inc"))
 def _(t: Tables) -> DataFrame:
-    return cls.confusion_matrix(guessed(t), "actual", "predicted", ["CLICK", "ERROR", "VIEW"])
+    rows = guessed(t)
+    return cls.confusion_matrix(rows, "actual", "predicted", category_values(rows, "actual"))
 
 
 @query("e7_classification_report", sql(

@@ -60,7 +60,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("m3_hour_clusters")
 def _(t: Tables) -> DataFrame:
-    return hour_clusters(agg.hour_profile(t.incidents, "beat", ts="ts"), "beat", starts=3)
+    return hour_clusters(agg.hour_profile(t.incidents, "beat", ts="ts"), "beat")
 
 
 # Places are few, so plain pair joins and a recursive closure give the clusters in SQL.
@@ -87,18 +87,18 @@ def _(t: Tables) -> DataFrame:
 @query("m5a_random_walks", sql(
     f"""+ {EDGES}, s AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS slot, count(*) OVER (PARTITION BY src) AS degree FROM e),
     starts AS (SELECT DISTINCT src FROM s),
-    w(start, walk, step, place, path) AS (SELECT src, r.walk, 1, src, src FROM starts, range(0, 6) AS r(walk)
+    w(start, walk, step, place, path) AS (SELECT src, r.walk, 1, src, src FROM starts, range(0, 50) AS r(walk)
       UNION ALL SELECT start, walk, step + 1, dst, path || '>' || dst FROM w JOIN s ON w.place = s.src
         AND s.slot = ('0x' || substr(md5('42:' || start || ':' || walk || ':' || step), 1, 8))::bigint % s.degree WHERE step < 5)
     SELECT start, cast(walk AS int) AS walk, path FROM w WHERE step = 5""", "inc", recursive=True))
 def _(t: Tables) -> DataFrame:
-    walks = graph.random_walks(edges(t), 5, 6)
+    walks = graph.random_walks(edges(t), 5, 50)
     return walks.select("start", "walk", F.concat_ws(">", "path").alias("path"))
 
 
 @query("m5b_walk_embeddings")
 def _(t: Tables) -> DataFrame:
-    return walk_embeddings(graph.random_walks(edges(t), 5, 10), "beat")
+    return walk_embeddings(graph.random_walks(edges(t), 5, 50), "beat")
 
 
 @query("m6_poisson_glm")
@@ -122,7 +122,7 @@ def _(t: Tables) -> DataFrame:
     dense = days.join(series, ["beat", "day"], "left").fillna(0, subset=["n"])
     dense = windows.rolling_mean(dense, ["beat"], ["day"], "n", {"mean7": 7, "mean28": 28}, shift=1)
     dense = dense.withColumn("weekday", F.weekday("day")).fillna(0.0)
-    model = linear.zinb(dense, "n", ["mean7", "mean28", "weekday"], rounds=2)
+    model = linear.zinb(dense, "n", ["mean7", "mean28", "weekday"])
     return model.zero_probability(model.predict(dense)).select("beat", "day", "n", "prediction", "p_zero")
 
 

@@ -45,11 +45,10 @@ def weekly_counts(df: DataFrame, key: str, week: str = "Week", out: str = "crime
 
 
 def _shares(df: DataFrame, key: str, category: str, values: Sequence[object], names: Sequence[str]) -> DataFrame:
-    counts = df.groupBy(key).pivot(category, list(values)).agg(F.count(F.lit(1)))
-    parts = [F.coalesce(quoted(str(value)), F.lit(0)) for value in values]
-    total = sum(parts[1:], parts[0])
-    return counts.select(key, *(F.coalesce(F.try_divide(part, total), F.lit(0.0)).alias(name)
-                                for part, name in zip(parts, names)))
+    counts = [F.count(F.when(quoted(category) == value, 1)).alias(f"_n{i}") for i, value in enumerate(values)]
+    totals = df.groupBy(key).agg(F.count(quoted(category)).alias("_all"), *counts)
+    return totals.select(key, *(F.coalesce(F.try_divide(F.col(f"_n{i}"), F.col("_all")), F.lit(0.0)).alias(name)
+                                for i, name in enumerate(names)))
 
 
 def category_values(df: DataFrame, category: str, limit: int = 10_000) -> list[str]:
@@ -61,7 +60,8 @@ def category_values(df: DataFrame, category: str, limit: int = 10_000) -> list[s
 
 
 def category_mix(df: DataFrame, key: str, category: str, values: Sequence[str]) -> DataFrame:
-    """One share column per category value; the shares of a key add up to 1. Null categories do not count."""
+    """One share column per category value; shares of all non-null rows of the key, so that they add up to 1 if
+    ``values`` holds every category."""
     return _shares(df.filter(F.col(category).isNotNull()), key, category, values, values)
 
 

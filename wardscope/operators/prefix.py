@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from wardscope.operators.joins import null_safe_join
 from wardscope.schema import quoted
+from wardscope.session import numbered
 
 # A bucket of up to this many narrow rows is sorted by one task.
 HOT_ROWS = 10_000_000
@@ -61,8 +62,8 @@ def prior_totals(df: DataFrame, specs: Sequence[PriorTotals], coarse: Column, fi
     many tasks.
 
     Several specs share one pass: a row enters it once per spec with nothing but keys, order and measures,
-    and the whole rows are shuffled once, when the totals are joined to them. They are matched by a hash of
-    all columns, so rows that are equal in every column get equal totals.
+    and the whole rows are shuffled once, when the totals are joined to them by a stored row number. Rows that
+    are equal in every column thus keep totals of their own, as a plain window gives them.
     """
     order = {"_coarse": coarse, "_fine": fine, "_tie": tie}
     if len(specs) == 1:
@@ -72,7 +73,7 @@ def prior_totals(df: DataFrame, specs: Sequence[PriorTotals], coarse: Column, fi
         return found.drop("_key", *order, *(f"_m_{name}" for name in spec.names))
     width = max(len(spec.names) for spec in specs)
     names = [f"v{j}" for j in range(width)]
-    rows = df.withColumn("_row_key", tie_hash([quoted(c) for c in df.columns]))
+    rows = numbered(df, "_row_key")
     entries = []
     for i, spec in enumerate(specs):
         values = [*spec.measures.values(), *[F.lit(0)] * (width - len(spec.names))]

@@ -91,7 +91,7 @@ def proximity_edges(df: DataFrame, key: str, order: Sequence[str], radius: float
     return chain_edges(df, key)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_rounds: int = 200) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
     """Least node id of the component of each node.
 
     Labels move along the edges and then jump to the label of their label, so the rounds grow with the
@@ -100,7 +100,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_roun
     labels = cut_lineage(nodes.select(node, F.col(node).alias("label")).distinct())
     both = cut_lineage(edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    for _ in range(max_rounds):
+    while True:
         offered = both.join(labels, both["dst"] == labels[node]).groupBy("src").agg(F.min("label").alias("offer"))
         moved = labels.join(offered, labels[node] == offered["src"], "left").select(
             node, F.col("label").alias("old"), F.least("label", "offer").alias("label"))
@@ -110,7 +110,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_roun
         if moved.filter("old <> label").isEmpty():
             return moved.select(node, "label")
         labels = moved.select(node, "label")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples: int, weight: str = "weight",
@@ -170,11 +169,11 @@ def _all_before(order: str) -> WindowSpec:
 
 
 def spatial_clusters(df: DataFrame, ids: Sequence[str], lat: str = "Latitude", lng: str = "Longitude",
-                     sample_n: int | None = 30_000, eps: float = 0.15, min_samples: int = 20, seed: int = 42,
+                     sample_n: int | None = None, eps: float = 0.15, min_samples: int = 20, seed: int = 42,
                      out: str = "Spatial_Cluster") -> DataFrame:
-    """Cluster a repeatable sample of the located rows on standardized coordinates; all other rows get −1.
+    """Cluster the located rows on standardized coordinates; rows without a place get −1.
 
-    ``sample_n=None`` takes all located rows. Rows at the same place become one weighted point before any distance is computed.
+    With ``sample_n`` only a repeatable sample of that size is clustered and all other rows get −1. Rows at the same place become one weighted point before any distance is computed.
     """
     if not {lat, lng} <= set(df.columns):
         return df.withColumn(out, F.lit(-1))

@@ -114,7 +114,7 @@ class CountForecast:
 
 
 def count_forecast(df: DataFrame, split_date: object = None, q_low: float = 0.2, q_high: float = 0.8, val_frac: float = 0.15,
-                   year_min: int = 2010, days: int = 7, shift: int = 1, dense: bool = False, with_zinb: bool = False,
+                   year_min: int = 2010, days: int = 7, shift: int = 1, dense: bool = False, with_zinb: bool = True,
                    rounds: int | None = None, quantile_rounds: int | None = None) -> CountForecast:
     """Train the count models, pick the one with the least error on whole counts and forecast with it.
 
@@ -130,7 +130,7 @@ def count_forecast(df: DataFrame, split_date: object = None, q_low: float = 0.2,
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     rows = cut_lineage(assembler.transform(placed.withColumn("_valid", ~F.col("_fit"))))
     fitting = rows.filter("_fit")
-    common = {"weight": "weight", **({"rounds": rounds, "depth": 5} if rounds else {})}
+    common = {"weight": "weight", **({"rounds": rounds} if rounds else {})}
     models: dict[str, object] = {
         "TweediePoisson": poisson_glm(fitting, COUNT, features, "weight"),
         "HGBPoisson": poisson_boost(rows, COUNT, "features", valid="_valid", **{**HISTOGRAM_STYLE, **common}),

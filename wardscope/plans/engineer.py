@@ -27,7 +27,7 @@ def daily_features(df: DataFrame, outlier: str = "Is_CrimeOutlier") -> DataFrame
     return windows.rolling_mean_strict(daily, keys, order, count, "Rolling_Avg_3Day_Beat")
 
 
-def stage3(df: DataFrame, ids: Sequence[str] | None = None, year_min: int = 2010, sample_n: int = 30_000,
+def stage3(df: DataFrame, ids: Sequence[str] | None = None, year_min: int = 2010, sample_n: int | None = None,
            eps: float = 0.15, min_samples: int = 20, n_clusters: int = 5, edge_km: float = 2.0, dims: int = 8,
            walk_length: int = 5, num_walks: int = 50, window: int = 3, seed: int = 42,
            as_of: object = None) -> DataFrame:

@@ -13,6 +13,7 @@ from wardscope.operators import aggregates, windows
 from wardscope.operators.joins import join_back, scaled_bins
 from wardscope.operators.prefix import tie_hash
 from wardscope.schema import quoted, require
+from wardscope.session import numbered
 
 REQUIRED = ("Beat", "Date_TS", "CrimeType", "Hour", "Arrest_Flag", "Year", "Month", "Lat_Bin", "Lng_Bin")
 CELL = ["Beat", "Date_Only", "Lat_Bin_Key", "Lng_Bin_Key"]
@@ -45,17 +46,19 @@ def daily_cell_features(df: DataFrame, per_cell: bool = False) -> DataFrame:
 
 def stage2(df: DataFrame, row_id: str | None = None, distinct: bool = True, per_cell: bool = False) -> DataFrame:
     """Add the history features. ``distinct=False`` spares a shuffle of whole records when the input is known to
-    hold no duplicates, as the output of the first job does not."""
+    hold no duplicates, or when records that are equal in everything are to stay apart."""
     require(df, REQUIRED)
     base = dedup(df) if distinct else df
     rows = scaled_bins(time_keys(base, "Date_TS"), ["Lat_Bin", "Lng_Bin"])
-    rows = rows.withColumn("_row", tie_hash([quoted(c) for c in df.columns]))
-    tie: Sequence[str] = [row_id] if row_id else ["_row"]
+    rows = rows if row_id else rows.withColumn("_tie", tie_hash([quoted(c) for c in df.columns]))
+    tie: Sequence[str] = [row_id] if row_id else ["_tie"]
+    # Stored once with a number for each row: every feature below reads just its columns from there.
+    rows = numbered(rows, "_row")
     # The history features are computed on the few columns they need and joined to the records once.
     slim = rows.select(*dict.fromkeys(["_row", *tie, "Date_TS", "Beat", "CrimeType", "Hour"]))
     slim = windows.rolling_range_count(slim, ["Beat"], "Date_TS", "Crime_Count_Last7Days")
     slim = windows.prior_density(slim, "Date_TS", tie, "CrimeType", "Hour", "CrimeType_Hour_Density")
-    out = rows.join(slim.select("_row", "Crime_Count_Last7Days", "CrimeType_Hour_Density"), "_row").drop("_row")
+    out = rows.join(slim.select("_row", "Crime_Count_Last7Days", "CrimeType_Hour_Density"), "_row").drop("_row", "_tie")
     # The small tables are computed from the records before the window columns, which they do not need.
     out = join_back(out, monthly_features(rows), ["Beat", "YearMonthDate"])
     out = join_back(out, daily_cell_features(rows, per_cell), CELL).drop(*CELL[2:])

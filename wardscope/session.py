@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -30,3 +32,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return it with an empty lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet below the shared checkpoint folder; later reads take only the columns they need."""
+    path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored with a number that no two rows share, even where they are equal in every column."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()))
