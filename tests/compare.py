@@ -6,6 +6,7 @@ import datetime as dt
 import decimal
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -19,7 +20,8 @@ TESTDATA = "/root/testdata"
 def make_session(cores: str = "8") -> SparkSession:
     return (SparkSession.builder.master(f"local[{cores}]").appName("wardscope")
             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-            .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC")
+            .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+            .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC")
             .config("spark.driver.extraJavaOptions", "-Dlog4j2.level=ERROR").getOrCreate())
 
 
