@@ -155,3 +155,15 @@ def test_stored_model_predicts_the_same(spark, counts, tmp_path):
     again = linear.PoissonModel(model.scaler, sources.load_model(path).stages[0])
     rows = again.predict(model.predict(counts.drop("features"), "p"), "q")
     assert rows.filter(F.col("p") != F.col("q")).isEmpty()
+
+
+def test_stored_poisson_model_scores_a_fresh_table(spark, tmp_path):
+    from wardscope import sources
+    from wardscope.models import linear
+
+    rows = spark.range(200).selectExpr("id", "cast(id % 7 AS double) AS a", "cast(id % 5 AS double) AS `b c`", "1.0D AS same", "id % 7 + id % 3 AS n")
+    model = linear.poisson_glm(rows, "n", ["a", "b c", "same"])
+    sources.save_model(model.pipeline(), str(tmp_path / "model"))
+    again = sources.load_model(str(tmp_path / "model")).transform(rows).select("id", "_mu")
+    both = model.predict(rows).join(again, "id").collect()
+    assert len(both) == 200 and all(abs(r.prediction - r._mu) < 1e-9 for r in both)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from wardscope.catalog.base import Tables, query, rounded, sql
 from wardscope.functions import calendar, categories, cleaning, numeric
-from wardscope.functions.calendar import FIXED_HOLIDAYS, FLOATING_HOLIDAYS
 from wardscope.operators.aggregates import first_by, mode_by
 from wardscope.operators.joins import attach_statics
 
@@ -168,10 +167,13 @@ def _(t: Tables) -> DataFrame:
 
 def _holiday_sql() -> str:
     """The holiday rules again, as a calendar of days joined to the rows."""
-    fixed = ", ".join(f"({m}, {d}, {y})" for m, d, y in FIXED_HOLIDAYS)
-    floating = " OR ".join(
-        f"(month(d) = {m} AND isodow(d) = {w + 1} AND day(d) BETWEEN {a} AND {b} AND year(d) >= {y})"
-        for m, w, a, b, y in FLOATING_HOLIDAYS)
+    fixed = "(1, 1, 1871), (6, 19, 2021), (7, 4, 1871), (11, 11, 1938), (12, 25, 1871)"
+    floating = """month(d) = 1 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 AND year(d) >= 1986
+      OR month(d) = 2 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 AND year(d) >= 1971
+      OR month(d) = 5 AND isodow(d) = 1 AND day(d) BETWEEN 25 AND 31 AND year(d) >= 1971
+      OR month(d) = 9 AND isodow(d) = 1 AND day(d) BETWEEN 1 AND 7 AND year(d) >= 1894
+      OR month(d) = 10 AND isodow(d) = 1 AND day(d) BETWEEN 8 AND 14 AND year(d) >= 1971
+      OR month(d) = 11 AND isodow(d) = 4 AND day(d) BETWEEN 22 AND 28 AND year(d) >= 1942"""
     return f"""+ shifted AS (SELECT id, cast(ts + to_days(cast(id % 40 AS int) * 365) AS date) AS d FROM lng_inc),
     days AS (SELECT DISTINCT d FROM shifted), fixed(m, n, since) AS (VALUES {fixed}),
     exact AS (SELECT make_date(y, m, n) AS h FROM fixed, range(1990, 2060) AS r(y) WHERE y >= since),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,8 +70,3 @@ def error_histogram(df: DataFrame, actual: str, predicted: str, bins: int = 60)
     share = F.try_divide(F.col("e") - span["low"], span["high"] - span["low"])
     index = F.least(F.coalesce(F.floor(share * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
     return errors.groupBy(index.alias("bin")).agg(F.sum("n").alias("n"))
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name."""
-    return reduce(DataFrame.unionByName, frames)

@@ -34,7 +34,7 @@ class HotspotModel:
             "_features", "_raw", "_probability", "_prediction")
 
     def pipeline(self) -> PipelineModel:
-        return PipelineModel([self.classifier])
+        return PipelineModel([VectorAssembler(inputCols=list(self.columns), outputCol="_features"), self.classifier])
 
 
 def _assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:

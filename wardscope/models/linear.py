@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame
@@ -32,7 +32,16 @@ class PoissonModel:
         return scored.select(*map(quoted, columns), F.col(self.regression.getPredictionCol()).alias(out))
 
     def pipeline(self) -> PipelineModel:
-        return PipelineModel([self.regression])
+        """Scaling, assembling and regression; the stored model scores a table that has the feature columns."""
+        return PipelineModel([*_inputs(self.scaler), self.regression])
+
+
+def _inputs(scaler: Standardizer) -> list[Transformer]:
+    """What ``_assemble`` does, as stages that can be stored."""
+    scaled = ", ".join(f"(`{c}` - {mean!r}D) / {deviation!r}D AS `{c}__z`" if deviation > 0 else f"0.0D AS `{c}__z`"
+                       for c, mean, deviation in zip(scaler.columns, scaler.means, scaler.deviations))
+    return [SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
+            VectorAssembler(inputCols=[f"{c}__z" for c in scaler.columns], outputCol="_scaled")]
 
 
 def _assemble(df: DataFrame, scaler: Standardizer, out: str) -> DataFrame:
@@ -79,6 +88,12 @@ class ZeroInflatedModel:
         scored = self.parts(df).withColumn(out, (1 - F.col("_pi")) * F.col("_mu"))
         return scored.select(*(quoted(c) for c in df.columns if c != out), out)
 
+    def pipeline(self) -> PipelineModel:
+        """Scaling, count part (``_mu``) and zero part (``_zero_probability``) as stages that can be stored."""
+        zeros = [] if self.zeros is None else [VectorAssembler(
+            inputCols=[f"{c}__z" for c in self.inflation_scaler.columns], outputCol="_inflation"), self.zeros]
+        return PipelineModel([*_inputs(self.scaler), self.regression, *zeros])
+
     def zero_probability(self, df: DataFrame, out: str = "p_zero") -> DataFrame:
         """Add the probability of observing zero."""
         scored = self.parts(df)

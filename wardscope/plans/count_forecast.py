@@ -108,7 +108,7 @@ class CountForecast:
             if isinstance(model, BoostedTrees):
                 model.save(self.series, f"{path}/models/{name}")
             else:
-                sources.save_model(model.regression, f"{path}/models/{name}")
+                sources.save_model(model.pipeline(), f"{path}/models/{name}")
         for name, model in zip(("q_low", "q_hi"), self.bands):
             model.save(self.series, f"{path}/models/{name}")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardscope import sources
 from wardscope.evaluation import classification as cls
 from wardscope.functions.calendar import min_year, week_key
-from wardscope.functions.cleaning import dedup
+from wardscope.functions.cleaning import dedup, to_number_or_zero
 from wardscope.models.hotspot import HotspotModel, hotspot_classifier
 from wardscope.operators import aggregates, sampling, scaling, spatial, windows
 from wardscope.operators.graph import neighbor_features
@@ -40,6 +40,7 @@ class Hotspots:
     confusion: DataFrame
     metrics: DataFrame
     centroids: DataFrame | None
+    inputs: DataFrame
 
     def write(self, path: str) -> None:
         """Write tables, metrics and model below a folder."""
@@ -49,7 +50,8 @@ class Hotspots:
         if self.centroids is not None:
             sources.write_report_csv(self.centroids, f"{path}/per_beat_location")
         sources.write_manifest(self.metrics, f"{path}/metrics")
-        sources.save_model(self.model.classifier, f"{path}/model")
+        sources.save_model(self.model.pipeline(), f"{path}/model")
+        sources.write_manifest(self.inputs, f"{path}/model_inputs")
 
 
 def weekly_rows(df: DataFrame, ids: Sequence[str], year_min: int = 2010) -> DataFrame:
@@ -75,7 +77,9 @@ def hotspots(df: DataFrame, ids: Sequence[str] | None = None, year_min: int = 20
         df = dedup(df).withColumn("_row_id", tie_hash([quoted(c) for c in df.columns]))
     latest = cut_lineage(weekly_rows(df, ids or ["_row_id"], year_min))
     features = select_available(latest, FEATURES)
-    scaled = scaling.standardize(scaling.numeric_features(latest, features), features)
+    numbers = to_number_or_zero(latest, features)
+    scaler = scaling.Standardizer.fit(numbers, features)
+    scaled = scaler.transform(numbers)
     columns = list(features)
     if neighbours:
         edges = cut_lineage(spatial.proximity_edges(latest, "Beat", ["Week"], dist_threshold))
@@ -102,4 +106,7 @@ def hotspots(df: DataFrame, ids: Sequence[str] | None = None, year_min: int = 20
     centroids = aggregates.centroid_median(df, "Beat") if aggregates.coordinate_names(df) else None
     table = cls.hotspot_table(scored, "Beat", "Week", "prob_hotspot", threshold, centroids)
     return Hotspots(model, columns, threshold, table, cls.classification_report(counts), curve,
-                    cls.confusion_matrix(called, "is_hotspot", "Prediction", [0, 1]), metrics, centroids)
+                    cls.confusion_matrix(called, "is_hotspot", "Prediction", [0, 1]), metrics, centroids, metrics.select(
+                        F.array(*map(F.lit, features)).alias("features"), F.array(*map(F.lit, scaler.means)).alias("means"),
+                        F.array(*map(F.lit, scaler.deviations)).alias("deviations"), F.array(*map(F.lit, columns)).alias("model_columns"),
+                        F.lit(float(threshold)).alias("threshold")))
