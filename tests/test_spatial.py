@@ -119,3 +119,12 @@ def test_neighbour_features(spark):
     mean = (20 + 0.5 * 40) / 1.5
     assert found[("a", 1)] == pytest.approx((mean, 10.0)) and found[("b", 1)] == pytest.approx((10.0, mean))
     assert found[("a", 2)] == (0.0, 0.0)
+
+
+def test_a_point_near_the_pole_adds_no_pairs_for_others(spark):
+    rows = [(i, 41.0 + i % 50 * 0.1, -88.0 + i // 50 * 0.1) for i in range(500)] + [(999, 89.9999, 10.0)]
+    edges = spatial.haversine_edges(spark.createDataFrame(rows, "k int, lat double, lng double"), "k", "lat", "lng", 9.0)
+    near = [(a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and abs(a[1] - b[1]) < 0.15 and abs(a[2] - b[2]) < 0.3
+            and math.dist((a[1] * 111.195, a[2] * 111.195 * math.cos(math.radians((a[1] + b[1]) / 2))),
+                          (b[1] * 111.195, b[2] * 111.195 * math.cos(math.radians((a[1] + b[1]) / 2)))) < 9.0]
+    assert {(e.src, e.dst) for e in edges.collect()} == set(near)

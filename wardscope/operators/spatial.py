@@ -25,21 +25,12 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return 2 * EARTH_KM * F.asin(F.sqrt(F.least(inner, F.lit(1.0))))
 
 
-def _grid_pairs(points: DataFrame, key: str, cell_x: Column, cell_y: Column, around: Column | None,
-                reach: int = 1) -> DataFrame:
-    """Ordered pairs of different points from the same or neighbouring cells: an equi-join on the cell.
-
-    ``around`` is the number of cells of a closed x axis, or None for an open one.
-    """
+def _grid_pairs(points: DataFrame, key: str, cell_x: Column, cell_y: Column) -> DataFrame:
+    """Ordered pairs of different points from the same or neighbouring cells: an equi-join on the cell."""
     placed = points.withColumns({"_x": cell_x, "_y": cell_y})
-    steps = F.array(*(F.lit(i) for i in range(-reach, reach + 1)))
+    steps = F.array(*(F.lit(i) for i in (-1, 0, 1)))
     spread = placed.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
-    if around is not None:
-        # With fewer cells than steps, two steps would lead to the same cell.
-        spread = spread.filter((around > 2 * reach) | F.col("_dx").between(0, around - 1))
-    moved_x = F.col("_x") + F.col("_dx")
-    spread = spread.withColumns({"_x": moved_x if around is None else F.pmod(moved_x, around),
-                                 "_y": F.col("_y") + F.col("_dy")})
+    spread = spread.withColumns({"_x": F.col("_x") + F.col("_dx"), "_y": F.col("_y") + F.col("_dy")})
     left = spread.select(*(F.col(c).alias(f"a_{c}") for c in points.columns), "_x", "_y")
     right = placed.select(*(F.col(c).alias(f"b_{c}") for c in points.columns), "_x", "_y")
     return left.join(right, ["_x", "_y"]).filter(F.col(f"a_{key}") != F.col(f"b_{key}")).drop("_x", "_y")
@@ -48,15 +39,20 @@ def _grid_pairs(points: DataFrame, key: str, cell_x: Column, cell_y: Column, aro
 def haversine_edges(points: DataFrame, key: str, lat: str, lng: str, km: float) -> DataFrame:
     """Directed edges ``src, dst, dist`` between all points at most ``km`` apart, without loops.
 
-    Points meet only in cells of the size of the radius. Cells get wider towards the poles by the largest
-    latitude in the table and close around the date line.
+    Points are placed on the unit sphere and meet in the cubes of a grid as wide as the chord of the radius, with the 26
+    cubes around: neither poles nor the date line are special, and one far point changes nothing for the others.
     """
-    degrees = math.degrees(km / EARTH_KM) * 1.000001
-    narrow = points.agg(F.cos(F.radians(F.least(F.max(F.abs(lat)) + degrees, F.lit(90.0)))).alias("c")).scalar()
-    cells = F.greatest(F.floor(F.lit(360.0 / degrees) * narrow), F.lit(1).cast("long"))
-    cell_x = F.pmod(F.floor((F.col(lng) + 180.0) / 360.0 * cells), cells)
-    cell_y = F.floor(F.col(lat) / degrees)
-    pairs = _grid_pairs(points.select(key, lat, lng), key, cell_x, cell_y, cells)
+    side = 2 * math.sin(min(km / EARTH_KM, math.pi) / 2) * 1.000001
+    phi, lam = F.radians(lat), F.radians(lng)
+    axes = {"_x": F.cos(phi) * F.cos(lam), "_y": F.cos(phi) * F.sin(lam), "_z": F.sin(phi)}
+    placed = points.select(key, lat, lng, *(F.floor(v / side).alias(name) for name, v in axes.items()))
+    steps = F.array(*(F.lit(i) for i in (-1, 0, 1)))
+    around = F.explode(F.flatten(F.transform(steps, lambda x: F.flatten(F.transform(steps, lambda y: F.transform(
+        steps, lambda z: F.struct((F.col("_x") + x).alias("x"), (F.col("_y") + y).alias("y"), (F.col("_z") + z).alias("z"))))))))
+    left = placed.select(*(F.col(c).alias(f"a_{c}") for c in (key, lat, lng)), around.alias("_cube"))
+    left = left.select("*", *(F.col(f"_cube.{c}").alias(f"_{c}") for c in "xyz")).drop("_cube")
+    right = placed.select(*(F.col(c).alias(f"b_{c}") for c in (key, lat, lng)), *axes)
+    pairs = left.join(right, [*axes]).filter(F.col(f"a_{key}") != F.col(f"b_{key}"))
     dist = haversine_km(*(F.col(c) for c in (f"a_{lat}", f"a_{lng}", f"b_{lat}", f"b_{lng}")))
     edges = pairs.select(F.col(f"a_{key}").alias("src"), F.col(f"b_{key}").alias("dst"), dist.alias("dist"))
     return edges.filter(F.col("dist") <= km)
@@ -67,7 +63,7 @@ def bin_edges(df: DataFrame, key: str, order: Sequence[str], radius: float = 0.0
     """Directed edges between keys whose first-seen grid bins lie at most ``radius`` degrees apart."""
     first = first_by(df, key, bins, order).dropna(subset=list(bins))
     cell_x, cell_y = (F.floor(F.col(name) / (radius * 1.000001)) for name in bins)
-    pairs = _grid_pairs(first, key, cell_x, cell_y, None)
+    pairs = _grid_pairs(first, key, cell_x, cell_y)
     lat, lng = ((F.col(f"a_{name}") - F.col(f"b_{name}")) for name in bins)
     dist = F.sqrt(lat * lat + lng * lng)
     edges = pairs.select(F.col(f"a_{key}").alias("src"), F.col(f"b_{key}").alias("dst"), dist.alias("dist"))
