@@ -135,3 +135,15 @@ def test_latest_row_takes_the_last_id_of_a_tie(spark):
     rows = [(1, "a", t), (2, "a", t), (3, "a", t + dt.timedelta(minutes=1))]
     df = spark.createDataFrame(rows, "id int, k string, ts timestamp").withColumn("w", F.to_date(F.date_trunc("week", "ts")))
     assert sorted(r.id for r in win.latest_per(df, ["k", "w"], "ts", ["id"]).collect()) == [2, 3]
+
+
+def test_positional_slice_orders_numbers_as_numbers(spark):
+    df = spark.createDataFrame([(9, 1), (10, 1), (10, 2), (100, 1)], "k int, day int")
+    found = windows_of(df)
+    assert found == {(9, 1): True, (10, 1): True, (10, 2): False, (100, 1): False}
+
+
+def windows_of(df):
+    from wardscope.operators.windows import positional_slice
+
+    return {(r.k, r.day): r.first for r in positional_slice(df, ["k"], "day", 0.5, "first").collect()}

@@ -162,8 +162,8 @@ def positional_slice(df: DataFrame, keys: Sequence[str], order: str, fraction: f
     Positions are the key totals before plus the position inside the key, so the rows are not sorted by
     one task.
     """
-    key_text = F.concat_ws("\x1f", *(F.col(k).cast("string") for k in keys))
-    placed = prior_totals(df, [PriorTotals([], {"_before": F.lit(1)})], key_text, F.col(order),
+    ordered = F.struct(*(quoted(k) for k in keys))  # keeps the type, so that 9 comes before 10
+    placed = prior_totals(df, [PriorTotals([], {"_before": F.lit(1)})], ordered, F.col(order),
                           tie_hash([F.col(order).cast("string")]))
     total = df.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(fraction))).alias("n")).scalar()
     return placed.withColumn(out, F.col("_before") < total).drop("_before")
