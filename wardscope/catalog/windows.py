@@ -32,6 +32,20 @@ def _(t: Tables) -> DataFrame:
     return win.prior_counts(rows, "ts", ["id"], counts).select("id", *counts)
 
 
+TIED = "ORDER BY ts, md5(beat || chr(31) || kind) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+# Many rows are equal in every column here. Which of them gets which total is open, so the totals are compared per key set.
+@query("w1_prior_count_ties", sql(
+    f"""+ r AS (SELECT beat, kind, date_trunc('day', ts)::timestamp AS ts FROM inc), h AS (SELECT beat, kind, ts,
+      count(*) OVER (PARTITION BY beat {TIED}) AS by_beat, count(*) OVER (PARTITION BY kind {TIED}) AS by_kind FROM r)
+    SELECT beat, kind, ts, 'by_beat' AS total, by_beat AS n FROM h UNION ALL SELECT beat, kind, ts, 'by_kind', by_kind FROM h""", "inc"))
+def _(t: Tables) -> DataFrame:
+    rows = t.incidents.select("beat", "kind", F.date_trunc("day", "ts").alias("ts"))
+    found = win.prior_counts(rows, "ts", ["beat", "kind"], {"by_beat": ["beat"], "by_kind": ["kind"]})
+    return found.unpivot(["beat", "kind", "ts"], ["by_beat", "by_kind"], "total", "n")
+
+
 @query("w2_prior_rate", sql(
     f"""SELECT id, round(avg(arrest_flag) OVER (PARTITION BY beat, kind {PAST}) * 100.0, 2) AS arrest_rate,
     round(avg(domestic_flag) OVER (PARTITION BY beat {PAST}) * 100.0, 2) AS domestic_rate FROM inc""", "inc"))
