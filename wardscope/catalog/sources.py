@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -83,11 +84,14 @@ def _(t: Tables) -> DataFrame:
     return schema.merge_suffixed(rows, ["c"])
 
 
-@query("s11_save_model")
+@query("s11_save_model", sql(
+    """+ m AS (SELECT avg(k) AS mk, avg(arrest_flag) AS ma, avg(value) AS mv, var_pop(k) AS kk, var_pop(arrest_flag) AS aa,
+      covar_pop(k, arrest_flag) AS ka, covar_pop(k, value) AS kv, covar_pop(arrest_flag, value) AS av FROM inc),
+    b AS (SELECT *, (kv * aa - av * ka) / (kk * aa - ka * ka) AS bk, (av * kk - kv * ka) / (kk * aa - ka * ka) AS ba FROM m)
+    SELECT id, round(mv + bk * (k - mk) + ba * (arrest_flag - ma), 6) AS prediction FROM inc, b""", "inc"))
 def _(t: Tables) -> DataFrame:
     path = scratch(t.spark, "model")
-    rows = VectorAssembler(inputCols=["k", "arrest_flag"], outputCol="features").transform(t.incidents)
-    model = LinearRegression(labelCol="value", maxIter=5).fit(rows)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["k", "arrest_flag"], outputCol="features"),
+                             LinearRegression(labelCol="value", solver="normal")]).fit(t.incidents)
     sources.save_model(model, path)
-    again = sources.load_model(path).transform(rows).withColumnRenamed("prediction", "loaded").select("id", "loaded")
-    return model.transform(rows).select("id", "prediction").join(again, "id")
+    return sources.load_model(path).transform(t.incidents).select("id", F.round("prediction", 6).alias("prediction"))
