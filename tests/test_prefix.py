@@ -140,3 +140,11 @@ def test_equal_rows_keep_totals_of_their_own_with_several_key_sets(spark):
     df = spark.createDataFrame(rows, "ts timestamp, key string, kind string, flag int")
     found = win.prior_history(df, "ts", ["kind"], {"n_key": ["key"], "n_kind": ["kind"]}, {"rate": (["key"], "flag")})
     assert sorted((r.n_key, r.n_kind) for r in found.collect()) == [(0, 0), (1, 1), (2, 2), (3, 0)]
+
+
+def test_codes_of_values_with_one_common_prefix_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(5000).select(F.format_string("https://example.org/%06d", F.col("id") * 7).alias("w"))
+    found = [(r.w, r.code) for r in sorted_codes(df, "w", "code").collect()]
+    assert [c for _, c in sorted(found)] == list(range(5000))

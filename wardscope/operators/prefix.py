@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wardscope.operators.joins import null_safe_join
 from wardscope.schema import quoted
-from wardscope.session import numbered
+from wardscope.session import numbered, stored
 
 # A bucket of up to this many narrow rows is sorted by one task.
 HOT_ROWS = 10_000_000
@@ -145,16 +145,16 @@ def splitter_bucket(column: Column, splitters: Sequence[float]) -> Column:
     return F.size(F.filter(limits, lambda limit: limit <= column))
 
 
-def sorted_codes(values: DataFrame, column: str, code: str, prefix: int = 3) -> DataFrame:
+def sorted_codes(values: DataFrame, column: str, code: str) -> DataFrame:
     """Number the distinct non-null values of a text column from 0 in sorted order.
 
-    Values are ranked inside groups of a common prefix and shifted by the size of the groups before, so
-    a large vocabulary is not sorted by a single task.
+    Values are dealt out by sampled ranges and stored, ranked inside their range and shifted by the sizes of the ranges
+    before. A large vocabulary is thus never sorted by a single task, whatever its values have in common.
     """
     distinct = values.select(quoted(column).alias(column)).filter(F.col(column).isNotNull()).distinct()
-    grouped = distinct.withColumn("_prefix", F.substring(column, 1, prefix))
-    sizes = grouped.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_size"))
-    starts = sizes.select("_prefix", F.coalesce(F.sum("_size").over(_before([], ["_prefix"])), F.lit(0)).alias("_start"))
-    ranked = grouped.withColumn("_rank", F.row_number().over(Window.partitionBy("_prefix").orderBy(column)))
-    numbered = ranked.join(starts, "_prefix")
-    return numbered.select(column, (F.col("_start") + F.col("_rank") - 1).cast("int").alias(code))
+    placed = stored(distinct.repartitionByRange(quoted(column)).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(_before([], ["_range"])), F.lit(0)).alias("_start"))
+    ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy(quoted(column))))
+    numbered = ranked.join(starts, "_range")
+    return numbered.select(quoted(column), (F.col("_start") + F.col("_rank") - 1).cast("int").alias(code))
