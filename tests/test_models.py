@@ -167,3 +167,22 @@ def test_stored_poisson_model_scores_a_fresh_table(spark, tmp_path):
     again = sources.load_model(str(tmp_path / "model")).transform(rows).select("id", "_mu")
     both = model.predict(rows).join(again, "id").collect()
     assert len(both) == 200 and all(abs(r.prediction - r._mu) < 1e-9 for r in both)
+
+
+@pytest.mark.parametrize("alpha", [0.2, 0.5, 0.8])
+def test_weighted_quantiles_are_exact(spark, alpha):
+    import random
+
+    from wardscope.models.boosting import weighted_quantiles
+
+    draw = random.Random(2)
+    rows = [(draw.randint(0, 2), draw.random() / 500, draw.choice([0.5, 1.0, 2.0])) for _ in range(300)]
+    found = weighted_quantiles(spark.createDataFrame(rows, "k int, v double, w double"), "k", F.col("v"), F.col("w"), alpha)
+    for k in range(3):
+        own = sorted((v, w) for kk, v, w in rows if kk == k)
+        total, so_far = sum(w for _, w in own), 0.0
+        for v, w in own:
+            so_far += w
+            if so_far >= alpha * total * (1 - 1e-12):
+                assert found[k] == v
+                break

@@ -154,17 +154,26 @@ def poisson_boost(df: DataFrame, label: str, features: str, rounds: int, depth:
 
 
 def weighted_quantiles(rows: DataFrame, key: str | None, value: Column, weight: Column, alpha: float) -> dict[int, float]:
-    """Weighted quantile per key, to a thousandth. Rows are summed per key and rounded value first, so that what
-    is ordered does not grow with the number of rows. Keys are the leaves of one tree."""
-    keyed = rows.select((F.col(key).cast("int") if key else F.lit(0)).alias("_key"), F.round(value, _RESOLUTION).alias("_v"),
-                        weight.alias("_weight"))
-    sums = keyed.groupBy("_key", "_v").agg(F.sum("_weight").alias("_weight"))
-    window = Window.partitionBy("_key")
-    placed = sums.withColumns({
-        "_until": F.sum("_weight").over(window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_all": F.sum("_weight").over(window)})
-    reached = placed.filter(F.col("_until") >= alpha * F.col("_all") * (1 - 1e-12))
-    return {row[0]: float(row[1]) for row in reached.groupBy("_key").agg(F.min("_v")).collect()}
+    """Exact weighted quantile per key: the least value up to which ``alpha`` of the weight lies.
+
+    Weights are summed per key and rounded value, which tells the rounded value that holds the quantile and the weight
+    before it; only rows with that one are summed and ordered by their exact value. Keys are the leaves of one tree.
+    """
+    keyed = rows.select((F.col(key).cast("int") if key else F.lit(0)).alias("_key"), value.alias("_v"),
+                        F.round(value, _RESOLUTION).alias("_rounded"), weight.alias("_weight"))
+    limit = alpha * (1 - 1e-12)
+
+    def until(frame: DataFrame, order: str) -> DataFrame:
+        summed = frame.groupBy("_key", order).agg(F.sum("_weight").alias("_weight"))
+        window = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return summed.withColumn("_until", F.sum("_weight").over(window))
+
+    coarse = until(keyed, "_rounded").withColumn("_all", F.sum("_weight").over(Window.partitionBy("_key")))
+    held = coarse.filter(F.col("_until") >= limit * F.col("_all")).groupBy("_key").agg(
+        F.min(F.struct("_rounded", (F.col("_until") - F.col("_weight")).alias("_before"), "_all")).alias("_held")).select("_key", "_held.*")
+    inside = until(keyed.join(held.select("_key", "_rounded"), ["_key", "_rounded"]), "_v").join(held, "_key")
+    reached = F.min(F.when(F.col("_before") + F.col("_until") >= limit * F.col("_all"), F.col("_v")))
+    return {row[0]: float(row[1]) for row in inside.groupBy("_key").agg(F.coalesce(reached, F.max("_v"))).collect()}
 
 
 def quantile_boost(df: DataFrame, label: str, features: str, alpha: float, rounds: int, depth: int = 3,
