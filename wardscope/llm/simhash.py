@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardscope.llm.common import apply_arrow, components, free_name, map_arrow, materialise
+from wardscope.llm.common import apply_arrow, components, free_name, map_arrow, materialise, with_row
 
 BITS = 64
 
@@ -147,14 +147,15 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     Documents without an id are kept only if no document of their group has one, and then one of them. The columns stay
     as they are.
     """
-    row = free_name(docs, "row")
-    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    rows = with_fingerprint(numbered.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text")), "text", "print",
+    docs, row = with_row(docs, doc_id)
+    rows = with_fingerprint(docs.select(F.col(f"`{row}`").cast("long").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text")), "text", "print",
                             options.get("width", 4)).select("row", "id", "print")
     rows = materialise(rows, "prints")
     best = F.min(F.struct(F.col("id").isNull(), "id", "row"))
     distinct = materialise(rows.groupBy("print").agg(best.alias("best")), "distinct-prints")
     roots = components(links(distinct.select("print"), options.get("max_bits", 4), options.get("blocks", 6), options.get("tile", 4096)))
     member = distinct.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    kept = member.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
-    return numbered.join(kept, row, "left_semi").drop(row)
+    key = free_name(docs, "kept_row")
+    kept = member.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(key))
+    left = docs.join(kept, F.col(f"`{row}`").cast("long") == F.col(key), "left_semi")
+    return left if row == doc_id else left.drop(row)
