@@ -44,7 +44,7 @@ class Forms:
         if at == len(self.codes):
             self.codes, self.flags = np.resize(self.codes, 2 * at), np.resize(self.flags, 2 * at)
         bare = _EDGES.sub("", word)
-        low, measure = bare.lower(), _MEASURE.match(bare)
+        low, measure = bare.casefold(), _MEASURE.match(bare)
         marks = (_NUMBER.match(bare), low in UNITS, len(bare) > 1 and bare[0].isupper() and bare[1:].islower(), word.endswith(_ENDS),
                  measure and measure[1].lower() in UNITS)
         self.flags[at] = sum(1 << k for k, m in enumerate(marks) if m)
@@ -52,8 +52,11 @@ class Forms:
         self.bare.append(bare)
         return at
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Codes, kinds and numbers of the words of a text; words of mere punctuation are left out."""
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes with all slots, with all but names and with none, kinds and numbers of the words of a text.
+
+        Words of mere punctuation are left out.
+        """
         if len(self.number) > self.limit:
             self.__init__(self.limit)
         for w in filterfalse(self.number.__contains__, set(words)):
@@ -66,12 +69,13 @@ class Forms:
         if not codes.all():
             kept = np.flatnonzero(codes)
             codes, kinds, flags, at = codes[kept], kinds[kept], flags[kept], at[kept]
-        slot = kinds != WORD
-        if slot.any():
+        literal, plain = codes, codes
+        if (kinds != WORD).any():
             kinds[1:][(kinds[:-1] == NUMBER) & (flags[1:] & _IS_UNIT != 0)] = UNIT
-            slot = kinds != WORD
-            codes[slot] = kinds[slot]
-        return codes, kinds, at
+            slot, name = kinds != WORD, kinds == NAME
+            codes = np.where(slot, kinds, literal)
+            plain = np.where(slot & ~name, kinds, literal) if name.any() else codes
+        return codes, plain, literal, kinds, at
 
 
 def template_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -93,7 +97,7 @@ def template_hashes(codes: np.ndarray, width: int) -> np.ndarray:
 
 def slots(kinds: np.ndarray, bare: list[str], at: np.ndarray, start: int, width: int) -> list[str]:
     """Type and value of the slots of a window, in order."""
-    return [f"{kinds[k]}{bare[at[k]].lower()}" for k in range(start, start + width) if kinds[k] != WORD]
+    return [f"{kinds[k]}{bare[at[k]].casefold()}" for k in range(start, start + width) if kinds[k] != WORD]
 
 
 def pattern(values: Iterable[str]) -> str:
@@ -103,32 +107,42 @@ def pattern(values: Iterable[str]) -> str:
 
 
 def template_windows(rows: DataFrame, widths: list[int], allowed: np.ndarray | None = None, whole_below: int = 0, least: int = 0) -> DataFrame:
-    """Windows of ``row, text``: ``row, pos, width, hash, slots, pattern, tokens``.
+    """Windows of ``row, text``: ``row, pos, width, form, hash, slots, pattern, tokens``.
 
+    A window has up to three forms: 0 with all slots, 1 with names read as words, 2 with no slots; forms equal to one
+    before are left out, as are the first two where over half of the window is slots or it has fewer than ``least`` tokens.
     With ``allowed`` (a bit map) only windows whose hash is set there. With ``whole_below`` texts of fewer tokens give one
-    window of all their tokens, if they have at least ``least``.
+    window of all their tokens.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = Forms()
         for batch in batches:
             out: list[tuple] = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                codes, kinds, at = forms.of((text.as_py() or "").split())
-                n = len(codes)
-                for width in (widths if n >= whole_below else [n] if n >= max(least, 1) else []):
-                    hashes = template_hashes(codes, width)
-                    starts = np.arange(len(hashes)) if allowed is None else np.flatnonzero(allowed[(hashes & np.uint64(_BIT_MASK)).astype(np.int64)])
-                    for start in starts.tolist():
-                        values = slots(kinds, forms.bare, at, start, width)
-                        if 2 * len(values) <= width:  # at least half of it is words
-                            out.append((row, start, width, int(hashes[start].astype(np.int64)), values, pattern(values), n))
+                *read, kinds, at = forms.of((text.as_py() or "").split())
+                n = len(kinds)
+                kinds_of = (kinds, np.where(kinds == NAME, WORD, kinds), np.zeros_like(kinds))
+                for width in (widths if n >= whole_below else [n] if n else []):
+                    for form in (0, 1, 2) if width >= least else (2,):
+                        if form and width >= least and read[form] is read[form - 1]:
+                            continue  # nothing to read in another way
+                        hashes = template_hashes(read[form], width)
+                        starts = np.arange(len(hashes)) if allowed is None else np.flatnonzero(allowed[(hashes & np.uint64(_BIT_MASK)).astype(np.int64)])
+                        for start in starts.tolist():
+                            part = slice(start, start + width)
+                            if form and width >= least and (kinds_of[form][part] == kinds_of[form - 1][part]).all() and (
+                                    2 * np.count_nonzero(kinds_of[form - 1][part]) <= width):
+                                continue
+                            values = slots(kinds_of[form], forms.bare, at, start, width)
+                            if 2 * len(values) <= width:  # at least half of it is words
+                                out.append((row, start, width, form, int(hashes[start].astype(np.int64)), values, pattern(values), n))
                 if len(out) > 20_000:
                     yield batch_of(out)
                     out = []
             yield batch_of(out)
 
-    schema = "row long, pos int, width int, hash long, slots array<string>, pattern string, tokens int"
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int32()]
+    schema = "row long, pos int, width int, form int, hash long, slots array<string>, pattern string, tokens int"
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int32()]
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*out)) or [()] * len(types)
@@ -150,23 +164,35 @@ def bit_map(windows: DataFrame) -> np.ndarray:
 def judge(hits: list[dict]) -> tuple[int, int | None]:
     """Tokens of the longest run that meets its need (0 if none does) and the smallest item in such runs.
 
+    Runs of windows that are equal to the benchmark's word by word count by themselves, too, as no slot can break those.
+    """
+    found = [runs(hits), runs([h for h in hits if not h["slots"]])]
+    return max(best for best, _ in found), min((item for _, item in found if item is not None), default=None)
+
+
+def runs(hits: list[dict]) -> tuple[int, int | None]:
+    """``judge`` for these windows together.
+
     A run is a row of matched windows without a gap. Within it, windows that follow the same item in step must fill the
-    item's slots one to one: equal values by equal values, others by others; where that breaks, a new run begins.
+    item's slots one to one: equal values by equal values, others by others; where that breaks, a new run begins. Each form
+    of the windows is followed by itself.
     """
     best, item = 0, None
     start = stop = need = low = 0
-    step, there, back = None, {}, {}
-    for h in sorted(hits, key=lambda h: (h["pos"], h["width"])):
+    states: dict[int, tuple] = {}
+    for h in sorted(hits, key=lambda h: (h["pos"], h["width"], h["form"])):
         here = (h["item_id"], h["item_pos"] - h["pos"])
         pairs = list(zip(h["item_slots"], h["slots"]))
+        step, there, back = states.get(h["form"], (None, {}, {}))
         if here != step:
             there, back = {}, {}
         fits = all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs)
         if h["pos"] > stop or not fits or not stop:
             start, stop, need, low, there, back = h["pos"], 0, h["need"], h["item_id"], {}, {}
-        step = here
+            states.clear()
         there |= dict(pairs)
         back |= {b: a for a, b in pairs}
+        states[h["form"]] = here, there, back
         stop = max(stop, h["pos"] + h["width"])
         need, low = min(need, h["need"]), min(low, h["item_id"])
         if stop - start >= need:
@@ -180,10 +206,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
     Texts become tokens: words without the punctuation around them, in lower case; numbers, units behind numbers and
     names (capitalised inside a sentence) become typed slots. Windows of ``width`` tokens, at least half of them words, are
-    looked up by a hash of the template in those of the benchmark, and must repeat slot values where the item does. A
+    looked up by a hash of the template in those of the benchmark, and must repeat slot values where the item does. Each
+    window is also looked up with its names read as words, so that letter case and the word before do not matter, and word by
+    word without slots, whatever its share of slots: an exact copy in any letter case is always found. A
     document is contaminated by a run of windows over ``min_run`` tokens (or the length of a shorter item) whose slots can be
-    filled consistently. Items of under ``width`` tokens are looked up as a whole; those of under ``min_item`` tokens, nulls
-    included, are not looked up, as everyday text would hold them. Null and empty documents are clean, repeated rows return
+    filled consistently. Items of under ``width`` tokens are looked up as a whole; those of under ``min_item`` tokens
+    word by word only. Everyday text holds an item like "yes", so leave out such items before if its documents shall stay. Null and empty documents are clean, repeated rows return
     as often as they occur, empty tables on either side give clean documents or none.
 
     The benchmark's hashes reach the tasks as a bit map of fixed size, so that few windows leave them; the exact join
@@ -198,9 +226,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         F.min(F.least(F.col("tokens"), F.lit(min_run))).alias("need")).select("hash", "width", "pattern", "item.*", "need"), "templates")
     widths = sorted(w for (w,) in known.select("width").distinct().collect())  # at most ``width`` different ones
     texts = docs.select(F.col(f"`{row}`").cast("long").alias("row"), F.col(f"`{text}`").alias("text"))
-    hits = template_windows(texts, widths, allowed=bit_map(known)).drop("tokens")
+    hits = template_windows(texts, widths, allowed=bit_map(known), least=min_item).drop("tokens")
     hits = hits.join(known, ["hash", "width", "pattern"]).select(
-        "row", F.struct("pos", "width", "slots", "item_id", "item_pos", "item_slots", "need").alias("hit"))
+        "row", F.struct("pos", "width", "form", "slots", "item_id", "item_pos", "item_slots", "need").alias("hit"))
     per_row = hits.groupBy("row").agg(F.collect_list("hit").alias("hits"))
 
     def verdicts(found: pa.Array) -> pa.Array:
