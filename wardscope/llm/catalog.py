@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardscope.llm import decontaminate, html, langid, packing, quality, simhash, substrings, tokencounts, tokenfiles, warc
+from wardscope.llm import decontaminate, hardnegatives, html, langid, packing, quality, simhash, substrings, tokencounts, tokenfiles, warc
 from wardscope.llm.common import shared_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -112,3 +113,23 @@ b AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(body
 SELECT page_id, url, coalesce(array_to_string(parts, chr(10)), '') AS text, cast(length(coalesce(array_to_string(parts, chr(10)), '')) AS bigint) AS n_chars FROM b""")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op11_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS q
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS bigint) AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS int) AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
