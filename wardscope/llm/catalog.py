@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardscope.llm import decontaminate, hardnegatives, html, langid, packing, quality, simhash, substrings, tokencounts, tokenfiles, warc
+from wardscope.llm import decontaminate, hardnegatives, html, langid, packing, phrases, quality, simhash, substrings, tokencounts, tokenfiles, warc
 from wardscope.llm.common import shared_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -133,3 +133,23 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardnegatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_phrases", r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(list_slice(ws, i, i + m - 1), ' '))) AS phrase
+      FROM w, range(1, 5) AS k(m)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2 AND a >= 30),
+cut AS (SELECT c.*, k, array_to_string(list_slice(ws, 1, k), ' ') AS head, array_to_string(list_slice(ws, k + 1, m), ' ') AS rest FROM c, range(1, 4) AS j(k) WHERE k < m),
+s AS (SELECT cut.*, x.a AS l, y.a AS r, cast(2000000::hugeint * cut.a // (x.a + y.a) AS bigint) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+u AS (SELECT lang, array_to_string(list_slice(ws, i, i + j - 1), ' ') AS phrase, max(a) AS around
+      FROM c, range(2, 4) AS p(j), range(1, 4) AS q(i) WHERE j < m AND i + j - 1 <= m GROUP BY ALL),
+n AS (SELECT lang, cast(sum(a) AS bigint) AS n FROM f WHERE m = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b LEFT JOIN u USING (lang, phrase) JOIN n USING (lang) WHERE around IS NULL OR 100::hugeint * around < 80::hugeint * a QUALIFY rank <= 2000""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("doc_id", "text", "lang"))

@@ -212,7 +212,7 @@ def hard_negatives(rows: DataFrame, anchor: Column, vec_id: str = "vec_id", vect
     blocks = max(-(-n_rows // block), 1)
     parts = max(min(blocks, 4 * tasks), -(-blocks // 64))  # a part has up to 64 blocks of rows, some 16 MB
     number = F.pmod(F.xxhash64("ids"), F.lit(parts)).alias("part")
-    packed_rows = materialise(map_arrow(used.drop("anchor").repartition(blocks), lambda b: pack(b, block, scale), PACKED), "vector-blocks").select(
+    packed_rows = materialise(map_arrow(used.drop("anchor").repartition(parts), lambda b: pack(b, block, scale), PACKED), "vector-blocks").select(
         number, *(F.col(c).alias(f"row_{c}") for c in ("size", "dim", "ids", "labels", "vectors")))
     few = used.where("anchor").drop("anchor").repartition(max(-(-n_anchors // anchor_block), 1))
     packed_anchors = materialise(map_arrow(few, lambda b: pack(b, anchor_block, scale), PACKED).withColumn("block", F.xxhash64("ids")), "anchor-blocks")
