@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardscope.llm import decontaminate, hardnegatives, html, langid, packing, phrases, quality, simhash, substrings, tokencounts, tokenfiles, warc
+from wardscope.llm import decontaminate, hardnegatives, html, langid, packing, phrases, quality, simhash, substrings, suffixes, tokencounts, tokenfiles, warc
 from wardscope.llm.common import shared_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -135,6 +135,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return hardnegatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+@query("op12_suffix_dedup")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_earlier(table(spark, folder, "documents").select("doc_id", "text")).drop("kept")
+
+
 @query("op13_phrases", r"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),

@@ -7,8 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 LONG_SPAN = 512
+HASHES = 4
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -92,3 +95,39 @@ def gathered(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null counts as empty."""
     return [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column]
+
+
+def bit_places(code: np.ndarray) -> np.ndarray:
+    """Numbers below 2^63 that give the bits of a code in a Bloom filter."""
+    return mixed(code) >> np.uint64(1)
+
+
+class Bloom:
+    """Bloom filter of codes. It may hold more than it was given, never less."""
+
+    def __init__(self, bits: bytes):
+        self.bits = np.frombuffer(bits, dtype=np.uint8)
+
+    def __call__(self, code: np.ndarray) -> np.ndarray:
+        place = bit_places(code)
+        mask, step = np.uint64(8 * len(self.bits) - 1), (place >> np.uint64(32)) | np.uint64(1)
+        passes, at = np.ones(len(place), dtype=bool), place & mask
+        for _ in range(HASHES):
+            passes &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            at = (at + step) & mask
+        return passes
+
+
+def bloom_bits(places: DataFrame, most_bits: int) -> bytes:
+    """Bits of a filter of the numbers in the column ``place``: 16 to 32 bits for each, ``most_bits`` in all at most."""
+    bits = min(max(1 << (16 * max(places.count(), 1) - 1).bit_length(), 1 << 15), most_bits)
+    mask, step = F.lit(bits - 1), F.shiftrightunsigned("place", 32).bitwiseOR(F.lit(1))
+    bit = F.col("place").bitwiseAND(mask) + F.col("hash") * step
+    bit = bit.bitwiseAND(mask) + 1
+    hashes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HASHES - 1).cast("long"))).alias("hash")
+    pieces = places.select("place", hashes).groupBy(F.bitmap_bucket_number(bit).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    whole = bytearray(bits // 8)
+    for piece, found in pieces.collect():  # bits / 8 bytes together
+        whole[(piece - 1) * 4096:piece * 4096] = found
+    return bytes(whole)
