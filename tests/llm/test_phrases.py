@@ -11,8 +11,8 @@ import numpy as np
 import pytest
 
 from wardscope.llm import catalog, phrases
-from wardscope.llm.fingerprints import Polynomial
-from wardscope.llm.phrases import Filter, collocations, parts_of, words
+from wardscope.llm.fingerprints import HASHES, Bloom, Polynomial, bit_places, bloom_bits, codes
+from wardscope.llm.phrases import collocations, parts_of, words
 
 LETTERS = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -100,12 +100,18 @@ def test_fingerprints_tell_equal_texts():
     assert p.spans(data, p.prefixes(data), np.array([27]), np.array([1227])) == p.spans(data, p.prefixes(data), np.array([1228]), np.array([2428])) and e
 
 
-def test_filter_holds_what_it_was_given():
-    held = np.arange(1, 4000, 7, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    bits = np.zeros(1 << 15, dtype=np.uint8)
-    bits[(phrases.bit_places(phrases.codes(held, 3)) & np.uint64((1 << 15) - 1)).astype(np.int64)] = 1
-    passes = Filter(np.packbits(bits, bitorder="little").tobytes(), 3)
-    assert passes(held).all() and passes(held + np.uint64(1)).mean() < 0.1
+@pytest.mark.parametrize("most_bits", [1 << 15, 1 << 20])
+def test_filter_holds_what_it_was_given(spark, most_bits):
+    held = codes(np.arange(1, 12000, 7, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 3)
+    places = bit_places(held).astype(np.int64).tolist()
+    bits = bloom_bits(spark.createDataFrame([(p,) for p in places], "place long"), most_bits)
+    expected = np.zeros(8 * len(bits), dtype=np.uint8)
+    for place in places:
+        for k in range(HASHES):
+            expected[(place + k * (place >> 32 | 1)) % len(expected)] = 1
+    assert bits == np.packbits(expected, bitorder="little").tobytes() and len(bits) <= most_bits // 8
+    passes = Bloom(bits)
+    assert passes(held).all() and passes(held + np.uint64(1)).mean() < 0.05
 
 
 def test_query_against_its_sql(spark, small):

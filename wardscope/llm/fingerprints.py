@@ -7,9 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardscope.llm.common import apply_arrow
+
 LONG_SPAN = 512
 HASHES = 4
 
@@ -53,6 +56,16 @@ class Polynomial:
         return found
 
 
+    def chunked(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int = 1 << 14) -> np.ndarray:
+        """The same for spans in ascending order, some at a time, so that few prefixes are held."""
+        found = np.zeros(len(starts), dtype=np.uint64)
+        for at in range(0, len(starts), size):
+            a, b = starts[at:at + size], stops[at:at + size]
+            part = data[a[0]:b[-1]]
+            found[at:at + size] = self.spans(part, self.prefixes(part), a - a[0], b - a[0])
+        return found
+
+
 def codes(fingerprints: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket (upper half) and 32 bits (lower half) of fingerprints; with buckets that grow with the data few codes coincide."""
     high = (fingerprints >> np.uint64(32)) % np.uint64(buckets)
@@ -86,7 +99,7 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, pa.Tabl
         yield held[0].column(0)[0].as_py(), pa.Table.from_batches(held)
 
 
-def gathered(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+def gathered(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
     """Numbers of all binary values of a column, one after another."""
     parts = [np.frombuffer(v.as_buffer(), dtype=kind) for v in column if v.is_valid]
     return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
@@ -131,3 +144,18 @@ def bloom_bits(places: DataFrame, most_bits: int) -> bytes:
     for piece, found in pieces.collect():  # bits / 8 bytes together
         whole[(piece - 1) * 4096:piece * 4096] = found
     return bytes(whole)
+
+
+def squeezed(df: DataFrame, text: str) -> Column:
+    """A text column compressed value by value, for texts that go through an exchange; null as empty."""
+    def squeeze(texts: pa.Array) -> pa.Array:
+        pack = zstandard.ZstdCompressor(level=3)
+        return pa.array([pack.compress(t) for t in texts_of(texts)], pa.binary())
+
+    return apply_arrow(df, squeeze, "binary", text)
+
+
+def unsqueezed(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of compressed texts."""
+    unpack = zstandard.ZstdDecompressor()
+    return [unpack.decompress(v) for v in texts_of(column)]

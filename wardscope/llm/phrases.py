@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardscope.llm.common import map_arrow, materialise, with_row
-from wardscope.llm.fingerprints import Polynomial, bucket_runs, codes, gathered, grouped, mixed, texts_of
+from wardscope.llm.fingerprints import Bloom, Polynomial, bit_places, bloom_bits, bucket_runs, codes, gathered, grouped, squeezed, texts_of, unsqueezed
 
 FIRST, SECOND = Polynomial(1301), Polynomial(1302)
 LONGEST = 4
@@ -102,21 +102,6 @@ def salt(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
 
 
-class Filter:
-    """Bit map of fingerprints that can be frequent. It may hold more than those, never less."""
-
-    def __init__(self, bits: bytes, buckets: int):
-        self.bits, self.buckets = np.frombuffer(bits, dtype=np.uint8), buckets
-
-    def __call__(self, fingerprints: np.ndarray) -> np.ndarray:
-        place = bit_places(codes(fingerprints, self.buckets)) & np.uint64(8 * len(self.bits) - 1)
-        return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
-def bit_places(code: np.ndarray) -> np.ndarray:
-    return mixed(code) >> np.uint64(1)
-
-
 def short_counts(batches: Iterator[pa.RecordBatch], buckets: int, least: int, limit: int, flush: int) -> Iterator[pa.RecordBatch]:
     """Counts (``least`` at most) of the fingerprints of one and two words in each bucket, added up over some texts."""
     held, size = [], 0
@@ -145,7 +130,7 @@ def short_counts(batches: Iterator[pa.RecordBatch], buckets: int, least: int, li
 
 
 def frequent_codes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Places in the bit map of the codes counted ``least`` times or more over all rows of their bucket."""
+    """Numbers that give the bits of the filter for the codes counted ``least`` times or more over all rows of their bucket."""
     for bucket, table in grouped(batches):
         low, n = gathered(table.column(1), np.uint32), gathered(table.column(2), np.uint16)
         order = np.argsort(low)
@@ -156,7 +141,7 @@ def frequent_codes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64))], ["place"])
 
 
-def counted(batches: Iterator[pa.RecordBatch], known: Filter, limit: int, flush: int) -> Iterator[pa.RecordBatch]:
+def counted(batches: Iterator[pa.RecordBatch], known: Bloom, buckets: int, limit: int, flush: int) -> Iterator[pa.RecordBatch]:
     """Fingerprint, second fingerprint, count and first occurrence of the sequences whose words and pairs of words pass the filter.
 
     One row per sequence and language for some texts together; a row with ``n = 0`` counts all words.
@@ -174,9 +159,9 @@ def counted(batches: Iterator[pa.RecordBatch], known: Filter, limit: int, flush:
             first = np.flatnonzero(np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1]))))
             at, times = order[first], np.diff(np.append(first, len(order)))
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first)), pa.array(np.full(len(first), n, dtype=np.int32)), pa.array(one[first].view(np.int64)),
-                                              pa.array(two[first].view(np.int64)), pa.array(times), pa.array(rows[at]), pa.array(places[at])], names)
+                                              pa.array(two[first].view(np.int32)), pa.array(times), pa.array(rows[at]), pa.array(places[at])], names)
         for lang, n in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([lang, 0, 0, 0, n, 0, 0], [pa.string(), pa.int32()] + [pa.int64()] * 5)], names)
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([lang, 0, 0, 0, n, 0, 0], [pa.string(), pa.int32(), pa.int64(), pa.int32()] + [pa.int64()] * 3)], names)
 
     for batch in batches:
         for lang, found in by_language(batch, limit):
@@ -194,13 +179,13 @@ def counted(batches: Iterator[pa.RecordBatch], known: Filter, limit: int, flush:
                 a, b = found.starts[first], found.ends[first + n - 1]
                 one = FIRST.spans(found.data, sums[0], a, b)
                 if n <= 2:
-                    passes = known(one ^ tint)
+                    passes = known(codes(one ^ tint, buckets))
                     first, a, b, one = first[passes], a[passes], b[passes], one[passes]
                     if n == 2:
                         pairs = np.zeros(max(len(found.starts) - 1, 0), dtype=bool)
                         pairs[first] = True
                 if len(first):
-                    held.setdefault((lang, n), []).append((one, SECOND.spans(found.data, sums[1], a, b), found.rows[first], found.places[first]))
+                    held.setdefault((lang, n), []).append((one, SECOND.spans(found.data, sums[1], a, b).astype(np.uint32), found.rows[first], found.places[first]))
                     size += len(first)
             if size >= flush:
                 yield from packed()
@@ -219,13 +204,13 @@ def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of the sequences that ``found`` points to, each compared with its fingerprints."""
     for batch in batches:
         out: list[tuple] = []
-        for text, found in zip(texts_of(batch.column(0)), batch.column(1).to_pylist()):
+        for text, found in zip(unsqueezed(batch.column(0)), batch.column(1).to_pylist()):
             for f in found:
                 phrase = phrase_at(text, f["place"], f["n"])
                 data = np.frombuffer(phrase, dtype=np.uint8)
                 ends = np.zeros(1, dtype=np.int64), np.array([len(data)])
-                prints = [int(p.spans(data, p.prefixes(data), *ends).view(np.int64)[0]) for p in (FIRST, SECOND)]
-                if prints != [f["print"], f["second"]]:
+                one, two = (p.spans(data, p.prefixes(data), *ends) for p in (FIRST, SECOND))
+                if (one.view(np.int64)[0], two.astype(np.uint32).view(np.int32)[0]) != (f["print"], f["second"]):
                     raise ValueError(f"the text at byte {f['place']} does not have the fingerprints counted for it")
                 out.append((f["lang"], f["n"], phrase.decode(), f["a"]))
         columns = list(zip(*out)) or [(), (), (), ()]
@@ -246,22 +231,16 @@ def frequent_sequences(docs: DataFrame, text: str, lang: str, doc_id: str, least
     short = map_arrow(used, lambda b: short_counts(b, buckets, least, limit, flush), "bucket int, codes binary, counts binary")
     dealt = short.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     often = materialise(map_arrow(dealt, lambda b: frequent_codes(b, least), "place long"), "frequent-codes")
-    bits = min(max(1 << (16 * max(often.count(), 1) - 1).bit_length(), 1 << 15), most_bits)
-    bit = F.col("place").bitwiseAND(F.lit(bits - 1)) + 1
-    pieces = often.groupBy(F.bitmap_bucket_number(bit).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    whole = bytearray(bits // 8)
-    for piece, found in pieces.collect():  # bits / 8 bytes at most
-        whole[(piece - 1) * 4096:piece * 4096] = found
-    shared = spark.sparkContext.broadcast(bytes(whole))
-
-    sequences = map_arrow(used, lambda b: counted(b, Filter(shared.value, buckets), limit, flush),
-                          "lang string, n int, print long, second long, count long, row long, place long")
+    shared = spark.sparkContext.broadcast(bloom_bits(often, most_bits))
+
+    sequences = map_arrow(used, lambda b: counted(b, Bloom(shared.value), buckets, limit, flush),
+                          "lang string, n int, print long, second int, count long, row long, place long")
     summed = sequences.groupBy("lang", "n", "print", "second").agg(
         F.sum("count").alias("a"), F.min("row").alias("row"), F.min_by("place", "row").alias("place"))
     summed = materialise(summed.where((F.col("a") >= least) | (F.col("n") == 0)), "sequences")
     totals = summed.where("n = 0").groupBy("lang").agg(F.sum("a").alias("n"))
     pointers = summed.where("n > 0").groupBy("row").agg(F.collect_list(F.struct("lang", "n", "print", "second", "a", "place")).alias("found"))
-    phrases = map_arrow(used.select("row", "text").join(pointers, "row").select("text", "found"), read_phrases, "lang string, n int, phrase string, a long")
+    phrases = map_arrow(used.select("row", squeezed(used, "text").alias("text")).join(pointers, "row").select("text", "found"), read_phrases, "lang string, n int, phrase string, a long")
     return materialise(phrases, "phrases"), totals
 
 
@@ -279,9 +258,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id
     table gives no rows, and other columns are not looked at. A very long text is worked off in parts of whole pieces.
 
     A phrase can be frequent only if all pairs of neighbouring words in it are. A first pass counts fingerprints of words
-    and pairs, packed by bucket, and sets the bits of the frequent ones in a map of at most 64 MB; bits that
-    coincide let more through and lose nothing. The second pass counts what passes, by two fingerprints of 64 bits
-    each, with a pointer to an occurrence. Only frequent sequences are read from their texts and compared with both.
+    and pairs, packed by bucket, and puts the frequent ones into a Bloom filter of at most 64 MB, which lets
+    too many through where it is full but loses nothing. The second pass counts what passes, by fingerprints of 64 and
+    32 bits, with a pointer to an occurrence. Only frequent sequences are read from their texts and compared with both.
     """
     phrases, totals = frequent_sequences(docs, text, lang, doc_id, least)
     tokens = F.split("phrase", " ")
