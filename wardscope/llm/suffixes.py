@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardscope.llm.common import apply_arrow, map_arrow, materialise, with_row
-from wardscope.llm.fingerprints import Bloom, Polynomial, bit_places, bloom_bits, bucket_runs, codes, grouped, mixed, texts_of
+from wardscope.llm.fingerprints import Bloom, Polynomial, bit_places, bloom_bits, bucket_runs, codes, gathered, grouped, mixed, squeezed, texts_of, unsqueezed
 
 SEED, FIRST, SECOND = (Polynomial(s) for s in (1201, 1202, 1203))
 SEED_BYTES, LONGEST_RUN = 16, 64
-SEGMENT = "code long, content binary, row long, start int, windows int"
 SPANS = "row long, start int, stop int"
 
 
@@ -156,15 +155,19 @@ def requests(batches: Iterator[pa.RecordBatch], buckets: int, length: int, limit
         yield from packed(*(np.concatenate(c) for c in zip(*held)))
 
 
-def answers(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """``row, codes``: the codes that other rows have as well, as 64-bit numbers; and ``place`` of each code of over ``most`` rows."""
+def answers(batches: Iterator[pa.RecordBatch], most: int, pages: int) -> Iterator[pa.RecordBatch]:
+    """Codes that other rows have as well, packed by page of rows, and ``place`` of each code of over ``most`` rows."""
+    names, kinds = ["page", "rows", "sizes", "codes", "place"], [pa.int32(), *[pa.binary()] * 3, pa.int64()]
+
     def listed(row: np.ndarray, code: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
         rows, sizes, code = row_lists(row, code)
-        edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
-        lists = [code[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-        places = bit_places(hot).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([*rows.tolist(), *[None] * len(hot)], pa.int64()), pa.array([*lists, *[None] * len(hot)], pa.binary()),
-                                           pa.array([*[None] * len(rows), *places.tolist()], pa.int64())], ["row", "codes", "place"])
+        page = page_of(rows, pages)
+        out = [(None, None, None, None, p) for p in bit_places(hot).astype(np.int64).tolist()]
+        of_code = np.repeat(page, sizes)
+        for p in np.unique(page).tolist():
+            own = page == p
+            out.append((p, rows[own].tobytes(), sizes[own].tobytes(), code[of_code == p].tobytes(), None))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)], names)
 
     none = np.zeros(0, dtype=np.uint64)
     for bucket, table in grouped(batches):
@@ -189,29 +192,81 @@ def answers(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
             yield listed(row[wanted], above | low[wanted].astype(np.uint64), above | low[first][total > most].astype(np.uint64))
 
 
-def cut_bytes(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Binary values ``data[first:first + size]``."""
-    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-    index = np.arange(offsets[-1]) + np.repeat(first - offsets[:-1], sizes)
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[index].tobytes())])
+def page_of(row: np.ndarray, pages: int) -> np.ndarray:
+    return (mixed(row.view(np.uint64)) % np.uint64(pages)).astype(np.int64)
 
 
-def segments(batches: Iterator[pa.RecordBatch], hot: Bloom, buckets: int, length: int, limit: int, flush: int) -> Iterator[pa.RecordBatch]:
-    """Runs whose code other rows have, with their bytes; of equal runs in a batch of texts those in the first row alone.
+def codes_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``row, codes`` from the pages."""
+    for _, table in grouped(batches):
+        rows, sizes, code = row_lists(np.repeat(gathered(table.column(1), np.int64), gathered(table.column(2), np.int32)), gathered(table.column(3), np.uint64))
+        edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array([code[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())], ["row", "codes"])
 
-    The windows of the others are in a smaller row: they go ahead as spans (no content). A run with a hot code is dealt
-    out window by window under hashes of whole windows.
-    """
-    def packed(found: list[Runs]) -> Iterator[pa.RecordBatch]:
-        data = np.concatenate([r.data for r in found])
-        moved = np.cumsum([0] + [len(r.data) for r in found])
-        code, first, windows, row, start = (np.concatenate(c) for c in zip(*((r.code, r.first + m, r.windows, r.row, r.start) for r, m in zip(found, moved))))
-        sums = [p.prefixes(data) for p in (FIRST, SECOND)]
 
-        def digest(a: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            return tuple(p.spans(data, s, a, a + n + length - 1) for p, s in zip((FIRST, SECOND), sums))
+@dataclass
+class Segments:
+    """Runs with their bytes, written one after another."""
+
+    code: np.ndarray
+    row: np.ndarray
+    start: np.ndarray
+    windows: np.ndarray
+    data: np.ndarray
+
+    def offsets(self, length: int) -> np.ndarray:
+        return np.concatenate(([0], np.cumsum(self.windows.astype(np.int64) + length - 1)))
+
+    def taken(self, index: np.ndarray, length: int) -> Segments:
+        first, sizes = self.offsets(length)[index], self.windows[index].astype(np.int64) + length - 1
+        return Segments(self.code[index], self.row[index], self.start[index], self.windows[index], cut_bytes(self.data, first, sizes))
+
+    def packed(self) -> bytes:
+        parts = [np.array([len(self.code)], dtype=np.int64), self.code, self.row, self.start.astype(np.int32), self.windows.astype(np.int32), self.data]
+        return zstandard.ZstdCompressor(level=3).compress(b"".join(p.tobytes() for p in parts))
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> Segments:
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        n, at, columns = int(np.frombuffer(raw, dtype=np.int64, count=1)[0]), 8, []
+        for kind in (np.uint64, np.int64, np.int32, np.int32):
+            columns.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
+            at += columns[-1].nbytes
+        return cls(*columns, np.frombuffer(raw, dtype=np.uint8, offset=at))
+
+    @classmethod
+    def joined(cls, parts: list[Segments]) -> Segments:
+        return cls(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("code", "row", "start", "windows", "data")))
+
 
-        one, two = digest(first, windows)
+def cut_bytes(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bytes ``data[first:first + size]`` one after another."""
+    before = np.cumsum(sizes) - sizes
+    return data[np.arange(sizes.sum()) + np.repeat(first - before, sizes)]
+
+
+def segments(batches: Iterator[pa.RecordBatch], hot: Bloom, buckets: int, length: int, limit: int, flush: int) -> Iterator[pa.RecordBatch]:
+    """Runs whose code other rows have, with their bytes, packed by bucket; of equal runs in a batch of texts those in the first row alone.
+
+    The windows of the others are in a smaller row: they go ahead as spans without bytes (``ready``). A run with a hot
+    code is dealt out window by window under hashes of whole windows.
+    """
+    def seen(parts: list[tuple[int, int, bytes]], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Code, digests, place in ``parts``, windows, row and place in the text of the runs that are wanted."""
+        found = runs(parts, buckets, length)
+        kept = np.isin(found.code, wanted)
+        code, first, windows, row, start = (c[kept] for c in (found.code, found.first, found.windows, found.row, found.start))
+        often = hot(code)
+        n = np.where(often, windows, 1)
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        code, first, windows, row, start, often = (np.repeat(c, n) for c in (code, first, np.where(often, 1, windows), row, start, often))
+        first, start = first + nth, start + nth
+        one, two = (p.spans(found.data, p.prefixes(found.data), first, first + windows + length - 1) for p in (FIRST, SECOND))
+        return np.where(often, codes(one, buckets), code), one, two, first, windows, row, start
+
+    def packed(held: list[tuple[np.ndarray, ...]], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        code, one, two, first, windows, row, start = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((start, row, two, one))
         one, two, code, first, windows, row, start = (c[order] for c in (one, two, code, first, windows, row, start))
         new = np.ones(len(one), dtype=bool)
@@ -224,36 +279,31 @@ def segments(batches: Iterator[pa.RecordBatch], hot: Bloom, buckets: int, length
         fresh[1:] = (row[again][1:] != row[again][:-1]) | (a[1:] > b[:-1])  # runs beside each other are one span
         begin = np.flatnonzero(fresh)
         last = np.append(begin[1:], len(again)) - 1
+        blobs = []
         if len(begin):
-            yield batch_of(row[again][begin].astype(np.uint64), pa.nulls(len(begin), pa.binary()), row[again][begin], a[begin], (b[last] - a[begin]))
-        often = hot(code)
-        kept, fine = ~later & ~often, np.flatnonzero(~later & often)
-        yield batch_of(code[kept], cut_bytes(data, first[kept], windows[kept] + length - 1), row[kept], start[kept], windows[kept])
-        if len(fine):
-            nth = np.arange(windows[fine].sum()) - np.repeat(np.cumsum(windows[fine]) - windows[fine], windows[fine])
-            fine = np.repeat(fine, windows[fine])
-            each = np.ones(len(fine), dtype=np.int64)
-            yield batch_of(digest(first[fine] + nth, each)[0], cut_bytes(data, first[fine] + nth, each + length - 1), row[fine], start[fine] + nth, each)
-
-    def batch_of(code: np.ndarray, content: pa.Array, row: np.ndarray, start: np.ndarray, windows: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), content, pa.array(row), pa.array(start.astype(np.int32)),
-                                           pa.array(windows.astype(np.int32))], ["code", "content", "row", "start", "windows"])
-
-    held, size = [], 0
+            ready = Segments(np.zeros(len(begin), dtype=np.uint64), row[again][begin], a[begin], b[last] - a[begin], data[:0])
+            blobs.append((int(page_of(ready.row[:1], buckets)[0]), True, ready.packed()))
+        kept = np.flatnonzero(~later)
+        kept = kept[np.argsort(code[kept], kind="stable")]
+        for bucket, s in bucket_runs(code[kept]):
+            own = kept[s]
+            blobs.append((bucket, False, Segments(code[own], row[own], start[own], windows[own], cut_bytes(data, first[own], windows[own] + length - 1)).packed()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*blobs)) or [()] * 3, [pa.int32(), pa.bool_(), pa.binary()])],
+                                         ["bucket", "ready", "blob"])
+
+    held, joined, size = [], [], 0
     for batch in batches:
-        unpack = zstandard.ZstdDecompressor()
-        texts = [unpack.decompress(t) for t in texts_of(batch.column(1))]
-        wanted = np.unique(np.concatenate([np.frombuffer(v, dtype=np.uint64) for lists in batch.column(2).to_pylist() for v in lists] or [np.zeros(0, dtype=np.uint64)]))
-        for parts in parts_of(batch.column(0).to_pylist(), texts, limit, length):
-            found = runs(parts, buckets, length)
-            kept = np.isin(found.code, wanted)
-            held.append(Runs(found.data, *(c[kept] for c in (found.code, found.first, found.windows, found.row, found.start))))
-            size += len(found.data)
+        wanted = np.unique(gathered(batch.column(2), np.uint64))
+        for parts in parts_of(batch.column(0).to_pylist(), unsqueezed(batch.column(1)), limit, length):
+            columns = seen(parts, wanted)
+            held.append((*columns[:3], columns[3] + size, *columns[4:]))
+            joined += [p[2] for p in parts]
+            size += sum(len(p[2]) for p in parts)
             if size >= flush:
-                yield from packed(held)
-                held, size = [], 0
+                yield from packed(held, joined)
+                held, joined, size = [], [], 0
     if held:
-        yield from packed(held)
+        yield from packed(held, joined)
 
 
 def longest_previous(value: np.ndarray, lcp: np.ndarray, least: int = 1) -> np.ndarray:
@@ -302,10 +352,10 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, value: np.ndarray, length
     return order, lcp
 
 
-def earlier_spans(code: np.ndarray, content: pa.Array, row: np.ndarray, start: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def earlier_spans(found: Segments, length: int) -> tuple[np.ndarray, ...]:
     """``row, start, stop`` of the bytes that a smaller row has, for whole groups of segments ordered by code, content and row."""
-    offsets = np.frombuffer(content.buffers()[1], dtype=np.int32)[content.offset:content.offset + len(content) + 1].astype(np.int64)
-    data = np.frombuffer(content.buffers()[2], dtype=np.uint8) if len(content) and content.buffers()[2] else np.zeros(0, dtype=np.uint8)
+    code, row, data, offsets = found.code, found.row, found.data, found.offsets(length)
+    start, windows = found.start.astype(np.int64), found.windows.astype(np.int64)
     sizes = np.diff(offsets)
     new = np.ones(len(code), dtype=bool)
     maybe = np.flatnonzero((code[1:] == code[:-1]) & (sizes[1:] == sizes[:-1])) + 1
@@ -325,11 +375,11 @@ def earlier_spans(code: np.ndarray, content: pa.Array, row: np.ndarray, start: n
         source = np.repeat(several, n)
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         order, lcp = suffix_order(data, offsets[source] + nth, row[source], length)
-        found = np.zeros(len(source), dtype=bool)
-        found[order] = longest_previous(row[source][order], lcp, length) >= length
+        gone = np.zeros(len(source), dtype=bool)
+        gone[order] = longest_previous(row[source][order], lcp, length) >= length
         edge = np.concatenate(([True], source[1:] != source[:-1]))
-        begin = np.flatnonzero(found & (edge | ~np.concatenate(([False], found[:-1]))))
-        stop = np.flatnonzero(found & np.concatenate((edge[1:] | ~found[1:], [True]))) + 1
+        begin = np.flatnonzero(gone & (edge | ~np.concatenate(([False], gone[:-1]))))
+        stop = np.flatnonzero(gone & np.concatenate((edge[1:] | ~gone[1:], [True]))) + 1
         owner, a, b = of[source[begin]], nth[begin], nth[stop - 1] + length
         # every place in the first row that has the content
         firsts = np.flatnonzero(~later)
@@ -341,34 +391,31 @@ def earlier_spans(code: np.ndarray, content: pa.Array, row: np.ndarray, start: n
 
 
 def find_earlier(batches: Iterator[pa.RecordBatch], length: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """Spans for sorted segments; groups of one code are worked off together, about ``rows`` segments at a time."""
-    def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).combine_chunks()
-        ready = table.filter(table.column(1).is_null())
-        row, start, windows = (ready.column(c).to_numpy() for c in (2, 3, 4))
-        yield made(row, start, start + windows + length - 1)
-        table = table.filter(table.column(1).is_valid()).combine_chunks()
-        if table.num_rows:
-            columns = [table.column(c).to_numpy() for c in (0, 2, 3, 4)]
-            content = pa.concat_arrays(table.column(1).chunks)
-            yield made(*earlier_spans(columns[0], content, columns[1], columns[2], columns[3], length))
-
+    """Spans of the segments of each bucket; groups of one code are worked off together, about ``rows`` segments at a time."""
     def made(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(row.astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], ["row", "start", "stop"])
 
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        if size >= rows:
-            table = pa.Table.from_batches(held).combine_chunks()
-            code = table.column(0).to_numpy()
-            cut = int(np.searchsorted(code, code[-1], side="left"))
-            if cut:
-                yield from done(table.slice(0, cut).to_batches())
-                held, size = table.slice(cut).to_batches(), table.num_rows - cut
-    if size:
-        yield from done(held)
+    for _, table in grouped(batches):
+        parts = []
+        for ready, blob in zip(table.column(1).to_pylist(), table.column(2).to_pylist()):
+            found = Segments.unpacked(blob)
+            if ready:
+                yield made(found.row, found.start, found.start + found.windows + length - 1)
+            else:
+                parts.append(found)
+        if not parts:
+            continue
+        found = Segments.joined(parts)
+        offsets = found.offsets(length)
+        one, two = (p.chunked(found.data, offsets[:-1], offsets[1:]) for p in (FIRST, SECOND))
+        order = np.lexsort((found.row, two, one, found.code))
+        code = found.code[order]
+        at = 0
+        while at < len(code):
+            stop = min(at + rows, len(code))
+            stop = int(np.searchsorted(code, code[stop - 1], side="right"))
+            yield made(*earlier_spans(found.taken(order[at:stop], length), length))
+            at = stop
 
 
 def cut_text(text: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
@@ -384,7 +431,7 @@ def cut_text(text: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
 
 
 def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 50, most: int = 10_000,
-                   bucket_bytes: int = 1 << 25, limit: int = 1 << 20, flush: int = 1 << 24, rows: int = 1 << 16, most_bits: int = 1 << 29) -> DataFrame:
+                   bucket_bytes: int = 1 << 24, limit: int = 1 << 20, flush: int = 1 << 23, rows: int = 1 << 14, most_bits: int = 1 << 29) -> DataFrame:
     """One row per document: ``doc_id, kept`` (binary), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``.
 
     Texts are UTF-8 bytes; every byte covered by a string of ``length`` bytes that also starts in a document with a
@@ -409,24 +456,21 @@ def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     asked = map_arrow(used.where(F.octet_length("text") >= length), lambda b: requests(b, buckets, length, limit, flush),
                       "bucket int, shared int, rows binary, sizes binary, codes binary")
     dealt = asked.repartition(buckets, F.when(F.col("shared") < 0, F.xxhash64("rows")).otherwise(F.col("bucket"))).sortWithinPartitions("bucket")
-    told = materialise(map_arrow(dealt, lambda b: answers(b, most), "row long, codes binary, place long"), "shared-codes")
-    lists = told.where("row IS NOT NULL").groupBy("row").agg(F.collect_list("codes").alias("codes"))
+    pages = max(1, -(-size // (4 * bucket_bytes)))
+    told = materialise(map_arrow(dealt, lambda b: answers(b, most, pages), "page int, rows binary, sizes binary, codes binary, place long"), "shared-codes")
+    paged = told.where("page IS NOT NULL").drop("place").repartition(pages, "page").sortWithinPartitions("page")
+    lists = map_arrow(paged, codes_by_row, "row long, codes binary")
     hot = docs.sparkSession.sparkContext.broadcast(bloom_bits(told.where("place IS NOT NULL").select("place"), most_bits))
 
-    def squeeze(texts: pa.Array) -> pa.Array:
-        pack = zstandard.ZstdCompressor(level=1)
-        return pa.array([pack.compress(t) for t in texts_of(texts)], pa.binary())
-
-    small = used.select("row", apply_arrow(used, squeeze, "binary", "text").alias("text"))
-    runs_of = map_arrow(small.join(lists, "row").select("row", "text", "codes"), lambda b: segments(b, Bloom(hot.value), buckets, length, limit, flush), SEGMENT)
-    ordered = runs_of.repartition("code").sortWithinPartitions("code", "content", "row")
-    spans = map_arrow(ordered, lambda b: find_earlier(b, length, rows), SPANS)
+    small = used.select("row", squeezed(used, "text").alias("text"))
+    runs_of = map_arrow(small.join(lists, "row").select("row", "text", "codes"), lambda b: segments(b, Bloom(hot.value), buckets, length, limit, flush),
+                        "bucket int, ready boolean, blob binary")
+    spans = map_arrow(runs_of.repartition(buckets, "bucket").sortWithinPartitions("bucket"), lambda b: find_earlier(b, length, rows), SPANS)
     gone = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     def rewrite(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        unpack, out = zstandard.ZstdDecompressor(), []
-        for t, found in zip(texts_of(texts), spans):
-            raw = unpack.decompress(t)
+        out = []
+        for raw, found in zip(unsqueezed(texts), spans):
             pairs = np.stack([found.values.field(k).to_numpy() for k in (0, 1)], axis=1) if found.is_valid else np.zeros((0, 2), dtype=np.int32)
             kept, removed, n = cut_text(raw, pairs)
             out.append((kept, len(raw), removed, n, hashlib.sha256(kept).hexdigest()))
