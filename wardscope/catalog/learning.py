@@ -110,7 +110,7 @@ def _(t: Tables) -> DataFrame:
 @query("m7_poisson_boost")
 def _(t: Tables) -> DataFrame:
     rows = samples(t).withColumn("valid", F.col("day") >= F.lit("2000-06-01").cast("date"))
-    model = boosting.poisson_boost(rows, "n", "features", 6, 4, 0.3, 5, valid="valid", patience=3)
+    model = boosting.poisson_boost(rows, "n", "features", valid="valid", **boosting.HISTOGRAM_STYLE)
     return model.predict(rows).select("beat", "day", "n", "prediction")
 
 
@@ -129,7 +129,7 @@ def _(t: Tables) -> DataFrame:
 @query("m9_quantile_bands")
 def _(t: Tables) -> DataFrame:
     rows = samples(t)
-    low, high = boosting.quantile_bands(rows, "n", "features", rounds=4, learning_rate=0.3)
+    low, high = boosting.quantile_bands(rows, "n", "features")
     return high.predict(low.predict(rows, "q_low"), "q_hi").select("beat", "day", "n", "q_low", "q_hi")
 
 
@@ -164,14 +164,14 @@ def typed(t: Tables) -> DataFrame:
 @query("m11_multiclass_boost")
 def _(t: Tables) -> DataFrame:
     rows = VectorAssembler(inputCols=["k", "hour", "lat", "value"], outputCol="features").transform(typed(t))
-    model = multiclass.multiclass_boost(rows, "label", "features", [0, 1, 2], rounds=2, depth=3)
+    model = multiclass.multiclass_boost(rows.withColumn("valid", F.col("id") % 10 == 0), "label", "features", [0, 1, 2], valid="valid")
     return model.predict(rows).select("id", "label", F.col("prediction").alias("predicted"),
                                       F.round(F.array_max("probability"), 6).alias("confidence"))
 
 
 @query("m12_cv_select_features")
 def _(t: Tables) -> DataFrame:
-    found = multiclass.fold_importances(typed(t), "label", ["k", "hour", "lat", "lng", "value", "arrest_flag"], ["id"], trees=5, depth=3)
+    found = multiclass.fold_importances(typed(t), "label", ["k", "hour", "lat", "lng", "value", "arrest_flag"], ["id"])
     return multiclass.vote_features(found, 3)
 
 
@@ -217,12 +217,12 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     names = ["k", "hour", "lat", "value"]
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(typed(t))
-    model = multiclass.multiclass_boost(rows, "label", "features", [0, 1, 2], rounds=2, depth=3)
+    model = multiclass.multiclass_boost(rows.withColumn("valid", F.col("id") % 10 == 0), "label", "features", [0, 1, 2], valid="valid")
     table = literal_table(rows, [(model.importances(),)], "importances array<double>")
     return feature_importance(table, names, "importances", 3)
 
 
 @query("e14_training_history")
 def _(t: Tables) -> DataFrame:
-    rows = samples(t)
-    return boosting.poisson_boost(rows, "n", "features", 4, 3, 0.3).training_history(rows)
+    rows = samples(t).withColumn("valid", F.col("day") >= F.lit("2000-06-01").cast("date"))
+    return boosting.poisson_boost(rows, "n", "features", valid="valid", **boosting.HISTOGRAM_STYLE).training_history(rows)

@@ -1,65 +1,45 @@
-"""Boosted trees for count targets and quantiles, built from MLlib regression trees.
-
-Each round fits one distributed tree to the current gradient and adds its step to a margin column. The margin
-is the only state that is carried along, and its lineage is cut every few rounds.
-"""
+"""Boosted trees for count targets and quantiles."""
 
 from __future__ import annotations
 
-import json
 import math
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardscope.session import cut_lineage
-from wardscope.sources.tables import write_manifest
+from wardscope.models.trees import Boosting, Ensemble, Objective, Style, Tree, group_quantiles
+from wardscope.session import with_library
 
 # The two parameter sets of the count models and the one of the bands.
-HISTOGRAM_STYLE = {"rounds": 800, "depth": 14, "learning_rate": 0.07, "min_leaf": 20, "patience": 10}
-GRADIENT_STYLE = {"rounds": 1200, "depth": 9, "learning_rate": 0.05, "min_leaf": 1, "patience": 75}
-BAND_STYLE = {"rounds": 600, "depth": 3, "learning_rate": 0.05, "min_leaf": 1}
-
-TREES_PER_PLAN = 40
-_RESOLUTION = 3
+HISTOGRAM_STYLE = {"rounds": 800, "depth": 14, "learning_rate": 0.07, "min_leaf": 20, "patience": 10, "leaves": 31, "bins": 255, "tolerance": 1e-7}
+GRADIENT_STYLE = {"rounds": 1200, "depth": 9, "learning_rate": 0.05, "min_leaf": 1, "patience": 75, "min_weight": 1.0, "l2": 1.0, "row_share": 0.9,
+                  "column_share": 0.9, "max_step": 0.7, "bins": 256}
+BAND_STYLE = {"rounds": 600, "depth": 3, "learning_rate": 0.05, "min_leaf": 1, "row_share": 0.9, "bins": 255}
 
 
 @dataclass
 class BoostedTrees:
-    """Base value and trees. ``steps`` holds a value per leaf where it is not the tree's own prediction."""
+    """Trees of one output and how their sum becomes a prediction."""
 
-    features: str
-    base: float
-    learning_rate: float
+    ensemble: Ensemble
     link: str
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    steps: list[dict[int, float]] = field(default_factory=list)
-    history: list[dict[str, float]] = field(default_factory=list)
+
+    @property
+    def trees(self) -> list[Tree]:
+        return [trees[0] for trees in self.ensemble.rounds]
+
+    @property
+    def history(self) -> list[dict[str, float]]:
+        return self.ensemble.history
 
     def margin(self, df: DataFrame, out: str) -> DataFrame:
         """Add the sum of the base and all steps."""
-        df = df.withColumn(out, F.lit(self.base))
-        for i in range(len(self.trees)):
-            df = self.add_step(df, i, out)
-            if (i + 1) % TREES_PER_PLAN == 0:
-                df = cut_lineage(df)
-        return df
-
-    def add_step(self, df: DataFrame, index: int, out: str) -> DataFrame:
-        """Add the step of one tree to the margin column."""
-        tree = self.trees[index]
-        scored = tree.transform(df)
-        if self.steps:
-            table = F.create_map(*(F.lit(v) for pair in self.steps[index].items() for v in pair))
-            step = F.coalesce(F.try_element_at(table, F.col(_leaf(tree)).cast("int")), F.lit(0.0))
-        else:
-            step = poisson_step(F.col(tree.getPredictionCol()))
-        scored = scored.withColumn(out, F.col(out) + F.lit(self.learning_rate) * step)
-        return scored.drop(*(name for name in (tree.getPredictionCol(), _leaf(tree)) if name))
+        return self.ensemble.margins(df, out).withColumn(out, F.col(out)[0])
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Add the prediction on the scale of the target."""
@@ -73,130 +53,79 @@ class BoostedTrees:
         return df.sparkSession.createDataFrame(rows, "round int, train double, valid double")
 
     def save(self, df: DataFrame, path: str) -> None:
-        """Store the trees as one pipeline and the rest as JSON; ``df`` names the session."""
-        PipelineModel(list(self.trees)).write().overwrite().save(f"{path}/trees")
-        facts = json.dumps({"features": self.features, "base": self.base, "learning_rate": self.learning_rate,
-                            "link": self.link, "steps": [list(s.items()) for s in self.steps], "history": self.history})
-        write_manifest(df.sparkSession.createDataFrame([(facts,)], "facts string"), f"{path}/facts")
+        self.ensemble.save(df, path, link=self.link)
 
     @classmethod
     def load(cls, df: DataFrame, path: str) -> BoostedTrees:
-        facts = json.loads(df.sparkSession.read.schema("facts string").json(f"{path}/facts").first()[0])
-        facts["steps"] = [{int(k): v for k, v in s} for s in facts["steps"]]
-        return cls(trees=list(PipelineModel.load(f"{path}/trees").stages), **facts)
-
-
-def _leaf(tree: DecisionTreeRegressionModel) -> str:
-    return tree.getLeafCol() if tree.isDefined("leafCol") else ""
-
-
-def poisson_step(tree_prediction: Column) -> Column:
-    """Best log step of a leaf. The tree predicts Σw(y−μ)/Σwμ there, and log(Σwy/Σwμ) is log1p of that."""
-    return F.log1p(F.greatest(tree_prediction, F.lit(-0.999999)))
-
-
-def _prepare(df: DataFrame, label: str, features: str, weight: str | None, valid: str | None) -> DataFrame:
-    return cut_lineage(df.select(
-        F.col(features), F.col(label).cast("double").alias("_y"),
-        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w"),
-        (F.coalesce(F.col(valid), F.lit(False)) if valid else F.lit(False)).alias("_valid")))
-
-
-def _tree(features: str, depth: int, min_leaf: int, bins: int, seed: int, leaf: str = "") -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(featuresCol=features, labelCol="_target", weightCol="_tree_weight", maxDepth=depth,
-                                 predictionCol="_tree", leafCol=leaf, minInstancesPerNode=min_leaf, maxBins=bins,
-                                 cacheNodeIds=depth > 8, seed=seed)
-
-
-def _boost(model: BoostedTrees, state: DataFrame, rounds: int, gradient: Callable[[DataFrame], DataFrame],
-           tree: DecisionTreeRegressor, leaf_steps: Callable[[DataFrame, DecisionTreeRegressionModel], dict] | None,
-           loss: Column, patience: int | None, cut_every: int) -> BoostedTrees:
-    """Shared loop. Stops when the validation loss has not fallen for ``patience`` rounds."""
-    state = state.withColumn("_margin", F.lit(model.base))
-    losses = [F.try_divide(F.sum(F.when(part, loss * F.col("_w"))), F.sum(F.when(part, F.col("_w"))))
-              for part in (~F.col("_valid"), F.col("_valid"))]
-    best, best_round = float("inf"), 0
-    for i in range(rounds):
-        fitted = tree.fit(gradient(state.filter(~F.col("_valid"))))
-        if leaf_steps:
-            model.steps.append(leaf_steps(state.filter(~F.col("_valid")), fitted))
-        model.trees.append(fitted)
-        state = model.add_step(state, i, "_margin")
-        if (i + 1) % cut_every == 0:
-            state = cut_lineage(state)
-        train, valid = state.agg(losses[0].alias("train"), losses[1].alias("valid")).first()
-        model.history.append({"train": train} if valid is None else {"train": train, "valid": valid})
-        if valid is not None and patience:
-            if valid < best:
-                best, best_round = valid, i
-            elif i - best_round >= patience:
-                break
-    if patience and best < float("inf"):
-        model.trees, model.steps = model.trees[:best_round + 1], model.steps[:best_round + 1]
-    return model
+        ensemble, facts = Ensemble.load(df, path)
+        return cls(ensemble, facts["link"])
 
 
-def poisson_boost(df: DataFrame, label: str, features: str, rounds: int, depth: int, learning_rate: float, min_leaf: int = 1,
-                  weight: str | None = None, valid: str | None = None, patience: int | None = None, bins: int = 64,
-                  cut_every: int = 5, seed: int = 42) -> BoostedTrees:
-    """Boosted trees with Poisson deviance and log link. ``valid`` marks rows kept for the stopping rule."""
-    state = _prepare(df, label, features, weight, valid)
-    mean = state.filter(~F.col("_valid")).agg(F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).first()[0]
-    model = BoostedTrees(features, math.log(max(mean or 0.0, 1e-9)), learning_rate, "log")
-    mu, y = F.exp("_margin"), F.col("_y")
+def poisson_objective(max_step: float = math.inf) -> Objective:
+    """Poisson deviance with a log link. A bound on the steps also raises the curvature, so that steps near it stay safe."""
+    raised = math.exp(max_step) if math.isfinite(max_step) else 1.0
 
-    def gradient(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({"_target": (y - mu) / mu, "_tree_weight": F.col("_w") * mu})
+    def gradient(margin: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mu = np.exp(margin)
+        return w * (mu - y), raised * w * mu
 
-    deviance = 2 * (F.when(y > 0, y * F.log(y / mu)).otherwise(0.0) - (y - mu))
-    return _boost(model, state, rounds, gradient, _tree(features, depth, min_leaf, bins, seed), None, deviance,
-                  patience, cut_every)
+    def loss(margin: np.ndarray, y: np.ndarray) -> np.ndarray:
+        mu = np.exp(margin[0])
+        return 2 * (np.where(y > 0, y * (np.log(np.maximum(y, 1e-300)) - margin[0]), 0.0) - (y - mu))
 
+    return Objective(gradient, loss)
 
-def weighted_quantiles(rows: DataFrame, key: str | None, value: Column, weight: Column, alpha: float) -> dict[int, float]:
-    """Exact weighted quantile per key: the least value up to which ``alpha`` of the weight lies.
 
-    Weights are summed per key and rounded value, which tells the rounded value that holds the quantile and the weight
-    before it; only rows with that one are summed and ordered by their exact value. Keys are the leaves of one tree.
-    """
-    keyed = rows.select((F.col(key).cast("int") if key else F.lit(0)).alias("_key"), value.alias("_v"),
-                        F.round(value, _RESOLUTION).alias("_rounded"), weight.alias("_weight"))
-    limit = alpha * (1 - 1e-12)
+def quantile_objective(alpha: float) -> Objective:
+    """Quantile loss: trees on the sign of the residual, leaf steps its weighted quantile."""
+    def gradient(margin: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.where(y - margin > 0, -alpha, 1.0 - alpha) * w, np.broadcast_to(w, margin.shape)
 
-    def until(frame: DataFrame, order: str) -> DataFrame:
-        summed = frame.groupBy("_key", order).agg(F.sum("_weight").alias("_weight"))
-        window = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return summed.withColumn("_until", F.sum("_weight").over(window))
+    def loss(margin: np.ndarray, y: np.ndarray) -> np.ndarray:
+        rest = y - margin[0]
+        return np.maximum(alpha * rest, (alpha - 1) * rest)
 
-    coarse = until(keyed, "_rounded").withColumn("_all", F.sum("_weight").over(Window.partitionBy("_key")))
-    held = coarse.filter(F.col("_until") >= limit * F.col("_all")).groupBy("_key").agg(
-        F.min(F.struct("_rounded", (F.col("_until") - F.col("_weight")).alias("_before"), "_all")).alias("_held")).select("_key", "_held.*")
-    inside = until(keyed.join(held.select("_key", "_rounded"), ["_key", "_rounded"]), "_v").join(held, "_key")
-    reached = F.min(F.when(F.col("_before") + F.col("_until") >= limit * F.col("_all"), F.col("_v")))
-    return {row[0]: float(row[1]) for row in inside.groupBy("_key").agg(F.coalesce(reached, F.max("_v"))).collect()}
+    return Objective(gradient, loss, alpha)
 
 
-def quantile_boost(df: DataFrame, label: str, features: str, alpha: float, rounds: int, depth: int = 3,
-                   learning_rate: float = 0.05, min_leaf: int = 1, weight: str | None = None, bins: int = 64,
-                   cut_every: int = 5, seed: int = 42) -> BoostedTrees:
-    """Boosted trees with quantile loss: trees on the sign of the residual, leaf steps its quantile."""
-    state = _prepare(df, label, features, weight, None)
-    base = weighted_quantiles(state, None, F.col("_y"), F.col("_w"), alpha).get(0, 0.0)
-    model = BoostedTrees(features, base, learning_rate, "identity")
-    residual = F.col("_y") - F.col("_margin")
+def poisson_boost(df: DataFrame, label: str, features: str, rounds: int, depth: int, learning_rate: float, min_leaf: int = 1,
+                  weight: str | None = None, valid: str | None = None, patience: int | None = None, bins: int = 64,
+                  seed: int = 42, **style: object) -> BoostedTrees:
+    """Boosted trees with Poisson deviance and log link. ``valid`` marks rows kept for the stopping rule.
+
+    ``style`` takes the other fields of ``Style``: leaves, penalties, shares of rows and columns.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    held = F.coalesce(F.col(valid), F.lit(False)) if valid else F.lit(False)
+    mean = df.filter(~held).agg(F.try_divide(F.sum(w * F.col(label)), F.sum(w))).first()[0]
+    grown = Style(rounds, depth, learning_rate, min_rows=min_leaf, patience=patience, bins=bins, seed=seed, **style)
+    base = [math.log(max(mean or 0.0, 1e-9))]
+    return BoostedTrees(Boosting(df, label, features, poisson_objective(grown.max_step), base, grown, weight, valid).fit(), "log")
+
 
-    def gradient(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({"_target": F.when(residual > 0, alpha).otherwise(alpha - 1.0), "_tree_weight": F.col("_w")})
+def weighted_quantiles(rows: DataFrame, key: str | None, value: Column, weight: Column, alpha: float) -> dict[int, float]:
+    """Exact weighted quantile per key: the least value up to which ``alpha`` of the weight lies. Keys are few."""
+    keyed = rows.select((F.col(key).cast("long") if key else F.lit(0).cast("long")).alias("key"), value.cast("double").alias("value"),
+                        weight.cast("double").alias("weight")).dropna()
+    with_library(rows.sparkSession)
+
+    def values_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        yield tuple(batch.column(c).to_numpy() for c in range(3))
+
+    return group_quantiles(keyed, values_of, alpha, keyed.rdd.getNumPartitions())
 
-    def leaf_steps(rows: DataFrame, tree: DecisionTreeRegressionModel) -> dict[int, float]:
-        return weighted_quantiles(tree.transform(rows), "_leaf", residual, F.col("_w"), alpha)
 
-    pinball = F.greatest(alpha * residual, (alpha - 1) * residual)
-    return _boost(model, state, rounds, gradient, _tree(features, depth, min_leaf, bins, seed, "_leaf"), leaf_steps,
-                  pinball, None, cut_every)
+def quantile_boost(df: DataFrame, label: str, features: str, alpha: float, rounds: int, depth: int = 3,
+                   learning_rate: float = 0.05, min_leaf: int = 1, weight: str | None = None, bins: int = 64,
+                   seed: int = 42, **style: object) -> BoostedTrees:
+    """Boosted trees with quantile loss."""
+    base = weighted_quantiles(df, None, F.col(label), F.col(weight) if weight else F.lit(1.0), alpha).get(0, 0.0)
+    grown = Style(rounds, depth, learning_rate, min_rows=min_leaf, bins=bins, seed=seed, **style)
+    return BoostedTrees(Boosting(df, label, features, quantile_objective(alpha), [base], grown, weight, None).fit(), "identity")
 
 
 def quantile_bands(df: DataFrame, label: str, features: str, low: float = 0.2, high: float = 0.8,
                    **parameters: object) -> tuple[BoostedTrees, BoostedTrees]:
-    """Models of the lower and of the upper band."""
-    return tuple(quantile_boost(df, label, features, alpha, **{**BAND_STYLE, **parameters}) for alpha in (low, high))
+    """Models of the lower and of the upper band, fitted side by side."""
+    with ThreadPoolExecutor(2) as pool:
+        return tuple(pool.map(lambda alpha: quantile_boost(df, label, features, alpha, **{**BAND_STYLE, **parameters}), (low, high)))

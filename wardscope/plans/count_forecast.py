@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
@@ -131,15 +132,19 @@ def count_forecast(df: DataFrame, split_date: object = None, q_low: float = 0.2,
     rows = cut_lineage(assembler.transform(placed.withColumn("_valid", ~F.col("_fit"))))
     fitting = rows.filter("_fit")
     common = {"weight": "weight", **({"rounds": rounds} if rounds else {})}
-    models: dict[str, object] = {
-        "TweediePoisson": poisson_glm(fitting, COUNT, features, "weight"),
-        "HGBPoisson": poisson_boost(rows, COUNT, "features", valid="_valid", **{**HISTOGRAM_STYLE, **common}),
-        "XGBPoisson": poisson_boost(rows, COUNT, "features", valid="_valid", **{**GRADIENT_STYLE, **common}),
+    wanted = {
+        "TweediePoisson": lambda: poisson_glm(fitting, COUNT, features, "weight"),
+        "HGBPoisson": lambda: poisson_boost(rows, COUNT, "features", valid="_valid", **{**HISTOGRAM_STYLE, **common}),
+        "XGBPoisson": lambda: poisson_boost(rows, COUNT, "features", valid="_valid", **{**GRADIENT_STYLE, **common}),
     }
     if with_zinb:
-        models["ZINB_full"] = zinb(train, COUNT, features)
-    bands = quantile_bands(fitting, COUNT, "features", q_low, q_high, weight="weight",
+        wanted["ZINB_full"] = lambda: zinb(train, COUNT, features)
+    with ThreadPoolExecutor(len(wanted) + 1) as pool:  # the models do not wait for each other's rounds
+        fits = {name: pool.submit(fit) for name, fit in wanted.items()}
+        pair = pool.submit(quantile_bands, fitting, COUNT, "features", q_low, q_high, weight="weight",
                            **({"rounds": quantile_rounds} if quantile_rounds else {}))
+        models = {name: fit.result() for name, fit in fits.items()}
+        bands = pair.result()
 
     def scorer(model: object):
         return with_features(model, features) if isinstance(model, BoostedTrees) else model.predict

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -9,6 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def with_library(spark: SparkSession) -> None:
+    """Lets Python workers import this library from where the driver did, if nothing else was set."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints, taken from ``spark.checkpoint.dir``.
 
