@@ -27,9 +27,9 @@ def plain_tokens(text):
         elif title and not start:
             kind = "NAME"
         else:
-            kind = bare.lower()
+            kind = bare.casefold()
         if kind:
-            out.append((kind, bare.lower()))
+            out.append((kind, bare.casefold()))
         start = w.endswith((".", "!", "?", ":"))
     return out
 
@@ -37,28 +37,29 @@ def plain_tokens(text):
 SLOTS = ("MEASURE", "NUMBER", "UNIT", "NAME")
 
 
-def plain_windows(text, width, whole_below=0, least=0):
+def plain_windows(text, width, whole_below=0, least=5):
+    """Start, width, key and tokens of the text for each reading of each window: with all slots, with names as words, word by word."""
     tokens = plain_tokens(text)
     if len(tokens) < whole_below:
         width = len(tokens)
-        if width < max(least, 1):
-            return
-    for i in range(len(tokens) - width + 1):
-        part = tokens[i:i + width]
-        values = [(k, v) for k, v in part if k in SLOTS]
-        if 2 * len(values) <= width:
-            yield i, width, (tuple(k for k, _ in part), pattern(values)), values, len(tokens)
+    readings = [SLOTS, ("MEASURE", "NUMBER", "UNIT"), ()] if width >= least else [()]
+    for i in range(len(tokens) - width + 1) if width else []:
+        for kinds in readings:
+            part = [(k if k in kinds else v, v, k in kinds) for k, v in tokens[i:i + width]]
+            values = [(k, v) for k, v, slot in part if slot]
+            if 2 * len(values) <= width:
+                yield i, width, (tuple(k for k, _, _ in part), pattern(values)), len(tokens)
 
 
 def plain_run(text, items, width=8, min_run=13):
     """Longest stretch of tokens in which every window is known, without regard to slots that clash between windows."""
     known = {}
     for _, t in items:
-        for _, w, key, _, n in plain_windows(t, width, width, 5):
+        for _, w, key, n in plain_windows(t, width, width):
             known[w, key] = min(known.get((w, key), min_run), n)
     best = 0
     start = stop = need = 0
-    for i, w, need_here in sorted((i, w, known[w, key]) for ww in {w for w, _ in known} for i, w, key, _, _ in plain_windows(text, ww) if (w, key) in known):
+    for i, w, need_here in sorted((i, w, known[w, key]) for ww in {w for w, _ in known} for i, w, key, _ in plain_windows(text, ww) if (w, key) in known):
         if i > stop or not stop:
             start, stop, need = i, 0, need_here
         stop, need = max(stop, i + w), min(need, need_here)
@@ -83,7 +84,7 @@ FILLER = "some plain words of another kind that nobody asked about in any test s
     (f"{FILLER} {QUESTION} {FILLER}", True),
     (f"{FILLER} {QUESTION.lower().replace('paris', 'Lyon').replace('anna', 'Berta').replace('9', '7').replace('120', '300')} {FILLER}", True),
     (QUESTION.replace("Paris", "Lyon", 1).replace("in Paris", "in Rome"), False),  # one place became two
-    (QUESTION.replace(" ", "\n"), True), (f"*** {QUESTION.upper()}", False), (FILLER, False), (None, False), ("", False),
+    (QUESTION.replace(" ", "\n"), True), (f"*** {QUESTION.upper()}", True), (FILLER, False), (None, False), ("", False),
     ("four words of it", False), ("please compute seven times eight now", True)])
 def test_cases(spark, text, found):
     items = spark.createDataFrame([(3, QUESTION), (8, QUESTION), (4, "please compute seven times eight now"), (5, "yes"), (6, None), (None, FILLER)], "item_id long, text string")
