@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from wardscope.llm import catalog, phrases
-from wardscope.llm.fingerprints import HASHES, Bloom, Polynomial, bit_places, bloom_bits, codes
+from wardscope.llm.fingerprints import HASHES, Bloom, Polynomial, bit_places, bloom_bits, codes, packed_ascending, unpacked_ascending
 from wardscope.llm.phrases import collocations, parts_of, words
 
 LETTERS = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -91,6 +91,11 @@ def test_small_parts_and_flushes_change_nothing(spark, monkeypatch):
         assert sorted(a.collect()) == sorted(b.collect())
 
 
+@pytest.mark.parametrize("values", [[], [0], [7, 7, 8], [0, 1, 1 << 31, (1 << 32) - 1]])
+def test_ascending_numbers_come_back(values):
+    assert unpacked_ascending(packed_ascending(np.array(values, dtype=np.uint32))).tolist() == values
+
+
 def test_fingerprints_tell_equal_texts():
     data = np.frombuffer(b"new york|new york|york new|" + b"ab" * 600 + b"|" + b"ab" * 600, dtype=np.uint8)
     p = Polynomial(4)

@@ -105,6 +105,33 @@ def gathered(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
 
 
+def packed_ascending(values: np.ndarray) -> bytes:
+    """32-bit numbers in ascending order, as compressed differences, byte by byte."""
+    steps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpacked_ascending(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
+def packed_columns(columns: list[np.ndarray]) -> bytes:
+    """Arrays of one length, byte by byte and compressed."""
+    planes = [np.array([len(columns[0])], dtype="<i8").tobytes()]
+    planes += [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpacked_columns(blob: bytes, kinds: list[type]) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    n, at, found = int(raw[:8].view("<i8")[0]), 8, []
+    for kind in map(np.dtype, kinds):
+        found.append(np.ascontiguousarray(raw[at:at + n * kind.itemsize].reshape(kind.itemsize, n).T).view(kind).reshape(n))
+        at += n * kind.itemsize
+    return found
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null counts as empty."""
     return [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardscope.llm.common import map_arrow, materialise, with_row
-from wardscope.llm.fingerprints import Bloom, Polynomial, bit_places, bloom_bits, bucket_runs, codes, gathered, grouped, squeezed, texts_of, unsqueezed
+from wardscope.llm.fingerprints import Bloom, Polynomial, bit_places, bloom_bits, bucket_runs, codes, gathered, grouped, packed_ascending, packed_columns, squeezed, texts_of, unpacked_ascending, unpacked_columns, unsqueezed
 
 FIRST, SECOND = Polynomial(1301), Polynomial(1302)
 LONGEST = 4
@@ -92,10 +92,12 @@ def parts_of(rows: list[int], texts: list[bytes], limit: int) -> Iterator[list[t
 
 def by_language(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[str, Words]]:
     """Words of the texts of each language in a batch of ``row, lang, text``."""
-    for lang in batch.column(1).unique().to_pylist():
-        part = batch.filter(pc.equal(batch.column(1), lang))
-        for parts in parts_of(part.column(0).to_pylist(), texts_of(part.column(2)), limit):
-            yield lang, words(parts)
+    for at in range(0, batch.num_rows, 2000):
+        some = batch.slice(at, 2000)
+        for lang in some.column(1).unique().to_pylist():
+            part = some.filter(pc.equal(some.column(1), lang))
+            for parts in parts_of(part.column(0).to_pylist(), texts_of(part.column(2)), limit):
+                yield lang, words(parts)
 
 
 def salt(lang: str) -> np.uint64:
@@ -111,7 +113,7 @@ def short_counts(batches: Iterator[pa.RecordBatch], buckets: int, least: int, li
         n = np.minimum(n, least).astype(np.uint16)
         low = code.astype(np.uint32)
         runs = list(bucket_runs(code))
-        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in runs], pa.int32()), pa.array([low[s].tobytes() for _, s in runs], pa.binary()),
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in runs], pa.int32()), pa.array([packed_ascending(low[s]) for _, s in runs], pa.binary()),
                                           pa.array([n[s].tobytes() for _, s in runs], pa.binary())], ["bucket", "codes", "counts"])
 
     for batch in batches:
@@ -132,7 +134,7 @@ def short_counts(batches: Iterator[pa.RecordBatch], buckets: int, least: int, li
 def frequent_codes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Numbers that give the bits of the filter for the codes counted ``least`` times or more over all rows of their bucket."""
     for bucket, table in grouped(batches):
-        low, n = gathered(table.column(1), np.uint32), gathered(table.column(2), np.uint16)
+        low, n = np.concatenate([unpacked_ascending(v) for v in table.column(1).to_pylist()]), gathered(table.column(2), np.uint16)
         order = np.argsort(low)
         low, n = low[order], n[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1]))) if len(low) else np.zeros(0, dtype=np.int64)
@@ -141,27 +143,55 @@ def frequent_codes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64))], ["place"])
 
 
+#: Fingerprints, words, count, row and place of a sequence.
+ENTRY = [np.uint64, np.uint32, np.uint8, np.int64, np.int64, np.int64]
+
+
+def merged(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """Entries with the counts of equal sequences added up and their first occurrence, in the order of the fingerprints."""
+    one, two, n, times, row, place = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((place, row, n, two, one))
+    one, two, n, times, row, place = (c[order] for c in (one, two, n, times, row, place))
+    first = np.flatnonzero(np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (n[1:] != n[:-1]))))
+    return [one[first], two[first], n[first], np.add.reduceat(times, first), row[first], place[first]]
+
+
+def often(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sequences counted ``least`` times or more over all rows of their bucket, and the words of each language."""
+    for _, table in grouped(batches):
+        parts: dict[str, list] = {}
+        for lang, blob in zip(table.column(1).to_pylist(), table.column(2).to_pylist()):
+            parts.setdefault(lang, []).append(tuple(unpacked_columns(blob, ENTRY)))
+        for lang, columns in parts.items():
+            one, two, n, times, row, place = merged(columns)
+            kept = np.flatnonzero((times >= least) | (n == 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(kept), pa.string()), pa.array(n[kept].astype(np.int32)), pa.array(one[kept].view(np.int64)), pa.array(two[kept].view(np.int32)),
+                 pa.array(times[kept]), pa.array(row[kept]), pa.array(place[kept])], ["lang", "n", "print", "second", "a", "row", "place"])
+
+
 def counted(batches: Iterator[pa.RecordBatch], known: Bloom, buckets: int, limit: int, flush: int) -> Iterator[pa.RecordBatch]:
-    """Fingerprint, second fingerprint, count and first occurrence of the sequences whose words and pairs of words pass the filter.
+    """Sequences whose words and pairs of words pass the filter, packed by language and bucket.
 
-    One row per sequence and language for some texts together; a row with ``n = 0`` counts all words.
+    Each has its fingerprints, the number of its words, its count in some texts together and the first occurrence there; a
+    sequence of no words counts all words.
     """
-    names = ["lang", "n", "print", "second", "count", "row", "place"]
-    held: dict[tuple[str, int], list] = {}
+    held: dict[str, list] = {}
     total: dict[str, int] = {}
     size = 0
 
     def packed() -> Iterator[pa.RecordBatch]:
-        for (lang, n), columns in held.items():
-            one, two, rows, places = (np.concatenate(c) for c in zip(*columns))
-            order = np.lexsort((two, one))
-            one, two = one[order], two[order]
-            first = np.flatnonzero(np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1]))))
-            at, times = order[first], np.diff(np.append(first, len(order)))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first)), pa.array(np.full(len(first), n, dtype=np.int32)), pa.array(one[first].view(np.int64)),
-                                              pa.array(two[first].view(np.int32)), pa.array(times), pa.array(rows[at]), pa.array(places[at])], names)
+        rows = []
         for lang, n in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip([lang, 0, 0, 0, n, 0, 0], [pa.string(), pa.int32(), pa.int64(), pa.int32()] + [pa.int64()] * 3)], names)
+            held.setdefault(lang, []).append(tuple(np.array([v], dtype=k) for v, k in zip((0, 0, 0, n, 0, 0), ENTRY)))
+        for lang, columns in held.items():
+            found = merged(columns)
+            bucket = ((found[0] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.diff(bucket[order])) + 1
+            rows += [(int(bucket[at[0]]), lang, packed_columns([c[at] for c in found])) for at in np.split(order, edges)]
+        columns = list(zip(*rows)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int32(), pa.string(), pa.binary()])], ["bucket", "lang", "blob"])
 
     for batch in batches:
         for lang, found in by_language(batch, limit):
@@ -185,7 +215,9 @@ def counted(batches: Iterator[pa.RecordBatch], known: Bloom, buckets: int, limit
                         pairs = np.zeros(max(len(found.starts) - 1, 0), dtype=bool)
                         pairs[first] = True
                 if len(first):
-                    held.setdefault((lang, n), []).append((one, SECOND.spans(found.data, sums[1], a, b).astype(np.uint32), found.rows[first], found.places[first]))
+                    columns = (one, SECOND.spans(found.data, sums[1], a, b).astype(np.uint32), np.full(len(first), n, dtype=np.uint8),
+                               np.ones(len(first), dtype=np.int64), found.rows[first], found.places[first])
+                    held.setdefault(lang, []).append(columns)
                     size += len(first)
             if size >= flush:
                 yield from packed()
@@ -218,8 +250,8 @@ def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "n", "phrase", "a"])
 
 
-def frequent_sequences(docs: DataFrame, text: str, lang: str, doc_id: str, least: int, most_bits: int = 1 << 29, bucket_bytes: int = 1 << 25,
-                       limit: int = 1 << 20, flush: int = 1 << 21) -> tuple[DataFrame, DataFrame]:
+def frequent_sequences(docs: DataFrame, text: str, lang: str, doc_id: str, least: int, most_bits: int = 1 << 29, bucket_bytes: int = 1 << 24,
+                       limit: int = 1 << 19, flush: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """``lang, n, phrase, a`` of all sequences of one to four words found ``least`` times or more, and ``lang, n`` of all words."""
     docs, row = with_row(docs, doc_id)
     rows = docs.select(F.col(f"`{row}`").cast("long").alias("row"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
@@ -230,14 +262,13 @@ def frequent_sequences(docs: DataFrame, text: str, lang: str, doc_id: str, least
     buckets = max(1, -(-size // bucket_bytes))
     short = map_arrow(used, lambda b: short_counts(b, buckets, least, limit, flush), "bucket int, codes binary, counts binary")
     dealt = short.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    often = materialise(map_arrow(dealt, lambda b: frequent_codes(b, least), "place long"), "frequent-codes")
-    shared = spark.sparkContext.broadcast(bloom_bits(often, most_bits))
-
-    sequences = map_arrow(used, lambda b: counted(b, Bloom(shared.value), buckets, limit, flush),
-                          "lang string, n int, print long, second int, count long, row long, place long")
-    summed = sequences.groupBy("lang", "n", "print", "second").agg(
-        F.sum("count").alias("a"), F.min("row").alias("row"), F.min_by("place", "row").alias("place"))
-    summed = materialise(summed.where((F.col("a") >= least) | (F.col("n") == 0)), "sequences")
+    known = materialise(map_arrow(dealt, lambda b: frequent_codes(b, least), "place long"), "frequent-codes")
+    shared = spark.sparkContext.broadcast(bloom_bits(known, most_bits))
+
+    sequences = map_arrow(used, lambda b: counted(b, Bloom(shared.value), buckets, limit, flush), "bucket int, lang string, blob binary")
+    summed = map_arrow(sequences.repartition(buckets, "bucket").sortWithinPartitions("bucket"), lambda b: often(b, least),
+                       "lang string, n int, print long, second int, a long, row long, place long")
+    summed = materialise(summed, "sequences")
     totals = summed.where("n = 0").groupBy("lang").agg(F.sum("a").alias("n"))
     pointers = summed.where("n > 0").groupBy("row").agg(F.collect_list(F.struct("lang", "n", "print", "second", "a", "place")).alias("found"))
     phrases = map_arrow(used.select("row", squeezed(used, "text").alias("text")).join(pointers, "row").select("text", "found"), read_phrases, "lang string, n int, phrase string, a long")
