@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardscope.catalog.base import Tables
 from wardscope.catalog.jobs import engineer_input, stage2_input
+from wardscope.models.multiclass import MulticlassTrees
 from wardscope.plans.count_forecast import beat_day_features, count_forecast
 from wardscope.plans.engineer import daily_features, stage3
 from wardscope.plans.features import stage2
@@ -100,6 +101,13 @@ def test_count_forecast(forecast_run, tmp_path):
     forecast_run.write(path)
     manifest = forecast_run.series.sparkSession.read.json(f"{path}/MANIFEST").first()
     assert manifest.best_model == forecast_run.best and manifest.lags == [1, 3, 7, 14, 21]
+    spark = forecast_run.series.sparkSession
+    lines = [r.value for r in spark.read.text(f"{path}/summary").collect()]
+    best = forecast_run.leaderboard.filter("rounded").filter(F.col("model") == forecast_run.best).first()
+    assert lines[2:] == [f"Best model: {forecast_run.best}", f"Best int-MAE: {best.MAE:.3f}", f"Best int-RMSE: {best.RMSE:.3f}"] and len(lines) == 5
+    assert spark.read.csv(f"{path}/training_history_XGBPoisson", header=True).count() == 3
+    worst = spark.read.csv(f"{path}/worst_beats_mae", header=True, inferSchema=True)
+    assert worst.filter("N < 50").isEmpty() and worst.count() <= 25
 
 
 def test_dense_series_has_zeros(tables):
@@ -118,6 +126,7 @@ def test_hotspots(tables, tmp_path):
     assert 0 <= run.metrics.first().roc_auc <= 1
     assert "Hour_hop2" in run.features and run.table.filter("prob_hotspot is null").isEmpty()
     run.write(str(tmp_path / "hot"))
+    assert run.table.sparkSession.read.csv(str(tmp_path / "hot" / "loss_history"), header=True).count() == len(run.model.history) == 1
     plain = hotspots(stage2_input(tables), ids=["ID"], year_min=1995, neighbours=False, kind="perceptron", hidden=4)
     assert plain.features == ["Hour", "Month"]
 
@@ -130,6 +139,11 @@ def test_type_classifier(tables, tmp_path):
     assert metrics.overall_accuracy > 0.3 and run.auc.count() == 5
     assert run.predictions.count() == clean.filter("Date_TS >= '2024-01-22'").count()
     run.write(str(tmp_path / "types"))
+    spark = clean.sparkSession
+    assert spark.read.csv(str(tmp_path / "types" / "best_and_worst_class"), header=True).count() == 1
+    assert spark.read.csv(str(tmp_path / "types" / "training_history"), header=True).count() == 2
+    again = MulticlassTrees.load(clean, str(tmp_path / "types" / "model"))
+    assert again.ensemble == run.model.ensemble and again.classes == run.model.classes
 
 
 def test_history_features_keep_equal_records_apart(spark):

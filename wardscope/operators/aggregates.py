@@ -51,10 +51,14 @@ def _shares(df: DataFrame, key: str, category: str, values: Sequence[object], na
                                 for i, name in enumerate(names)))
 
 
-def category_values(df: DataFrame, category: str, limit: int = 10_000) -> list[str]:
-    """Distinct values that are to become columns. A table cannot have more columns than ``limit`` anyway."""
-    rows = df.select(category).filter(F.col(category).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+def category_values(df: DataFrame, category: str, limit: int | None = 10_000) -> list[str]:
+    """Distinct values that are to become columns. A table cannot have more columns than ``limit`` anyway.
+
+    Without a limit all values come, for the classes of a model, which has trees for each of them.
+    """
+    found = df.select(category).filter(F.col(category).isNotNull()).distinct()
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} distinct values in {category}; they cannot become columns")
     return sorted(row[0] for row in rows)
 

@@ -93,18 +93,29 @@ class CountForecast:
     manifest: DataFrame
     locations: DataFrame | None
 
+    def summary(self) -> DataFrame:
+        """Five lines on the target and on the best model's errors in whole counts."""
+        errors = self.leaderboard.filter(F.col("rounded") & (F.col("model") == self.best)).first()
+        lines = F.array(F.format_string("Average actual per beat/day: %.2f", "avg_actual_per_beat_day"),
+                        F.format_string("Median actual per beat/day: %.2f", "median_actual_per_beat_day"),
+                        F.format_string("Best model: %s", "best_model"), F.format_string("Best int-MAE: %.3f", F.lit(errors.MAE)),
+                        F.format_string("Best int-RMSE: %.3f", F.lit(errors.RMSE)))
+        return self.manifest.select(F.explode(lines).alias("value"))
+
     def write(self, path: str) -> None:
-        """Write every table, the manifest and the models below a folder."""
+        """Write every table, the manifest, the summary and the models below a folder."""
         sources.write_parquet(self.series, f"{path}/beat_day_features.parquet")
         reports = {"model_results_test": self.leaderboard, "test_predictions_best": self.predictions,
                    "per_beat_metrics": self.per_beat, "forecast_7d_per_beat": self.forecast,
                    "citywide_forecast": self.citywide_forecast, "citywide_actual_test": self.citywide_actual,
-                   "error_distribution": self.errors}
+                   "error_distribution": self.errors, "worst_beats_mae": aggregates.worst_keys(self.per_beat, "Beat")}
+        reports |= {f"training_history_{name}": model.training_history(self.series) for name, model in self.models.items() if isinstance(model, BoostedTrees)}
         if self.locations is not None:
             reports["per_beat_location"] = self.locations
         for name, table in reports.items():
             sources.write_report_csv(table, f"{path}/{name}")
         sources.write_manifest(self.manifest, f"{path}/MANIFEST")
+        sources.write_summary(self.summary(), f"{path}/summary")
         for name, model in self.models.items():
             if isinstance(model, BoostedTrees):
                 model.save(self.series, f"{path}/models/{name}")

@@ -49,6 +49,8 @@ class Hotspots:
             sources.write_report_csv(table, f"{path}/{name}")
         if self.centroids is not None:
             sources.write_report_csv(self.centroids, f"{path}/per_beat_location")
+        history = [(i, loss) for i, loss in enumerate(self.model.history)]
+        sources.write_report_csv(sampling.literal_table(self.table, history, "round int, loss double"), f"{path}/loss_history")
         sources.write_manifest(self.metrics, f"{path}/metrics")
         sources.save_model(self.model.pipeline(), f"{path}/model")
         sources.write_manifest(self.inputs, f"{path}/model_inputs")

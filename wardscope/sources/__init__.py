@@ -11,4 +11,5 @@ from wardscope.sources.tables import (  # noqa: F401
     write_parquet,
     write_partitioned,
     write_report_csv,
+    write_summary,
 )

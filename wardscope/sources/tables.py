@@ -63,6 +63,11 @@ def write_manifest(row: DataFrame, path: str) -> None:
     row.write.mode("overwrite").json(path)
 
 
+def write_summary(lines: DataFrame, path: str) -> None:
+    """Write a frame with one text column as lines of text."""
+    lines.coalesce(1).write.mode("overwrite").text(path)
+
+
 def save_model(model: MLWritable | Transformer, path: str) -> None:
     """Store a fitted pipeline stage or pipeline."""
     pipeline = model if isinstance(model, PipelineModel) else PipelineModel([model])
