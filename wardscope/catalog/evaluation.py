@@ -25,7 +25,7 @@ GUESSED = """guessed AS (SELECT id, kind AS actual, CASE WHEN id % 4 = 0 THEN 'C
     AS predicted FROM inc)"""
 # Rows of per-class scores for the curves of several classes.
 CLASS_SCORES = """scores AS (SELECT c.class, cast(kind = c.class AS int) AS y, ((k * c.m) % 100) / 100.0 + 0.2 * cast(kind = c.class AS int) AS s
-    FROM inc, (VALUES ('CLICK', 3), ('ERROR', 7), ('VIEW', 11)) c(class, m))"""
+    FROM inc, (VALUES ('CLICK', 3), ('ERROR', 7), ('PURCHASE', 13), ('SIGNUP', 17), ('VIEW', 11)) c(class, m))"""
 
 
 def scored(t: Tables) -> DataFrame:
@@ -38,7 +38,7 @@ def guessed(t: Tables) -> DataFrame:
 
 
 def class_scores(t: Tables) -> DataFrame:
-    classes = {"CLICK": 3, "ERROR": 7, "VIEW": 11}
+    classes = {"CLICK": 3, "ERROR": 7, "PURCHASE": 13, "SIGNUP": 17, "VIEW": 11}
     hits = {name: (F.col("kind") == name).cast("int") for name in classes}
     scores = F.array(*(((F.col("k") * m) % 100) / 100.0 + 0.2 * hits[name] for name, m in classes.items()))
     return cls.class_scores(t.incidents.select("kind", scores.alias("scores")), "kind", "scores", list(classes))
