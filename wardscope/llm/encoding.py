@@ -14,12 +14,13 @@ IDS = np.dtype("<u4")
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file, without special tokens; their strings in a text are ordinary text.
+    """Ids of whole texts by a tokenizers file, as the library gives them with ``add_special_tokens=False``.
 
     For two kinds of files the ids of a text are known to be those of its words one after another: byte-level BPE without
     normalizer, where a lone space opens the next word and a lone line break stands by itself, and the kind that drops
     white space. There each word is encoded once and kept in a memo of two generations of at most ``limit`` words; texts
-    that cannot be divided so, and other files, are encoded whole. The ids are equal either way.
+    that cannot be divided so, texts with the string of an added token (which is one id), and other files are encoded
+    whole. The ids are equal either way.
     """
 
     def __init__(self, path: str, limit: int = 400_000) -> None:
@@ -27,24 +28,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.limit, self.young, self.old = limit, {}, {}
         plan = json.loads(self.tokenizer.to_str())
         before, form = plan.get("pre_tokenizer") or {}, plan.get("normalizer")
-        model = plan["model"]
+        model, added = plan["model"], plan.get("added_tokens") or []
+        self.added = [t["content"] for t in added]
         self.by_space = (form is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
                          and before.get("use_regex", True) and model.get("type") == "BPE" and not model.get("dropout"))
         parts = before.get("pretokenizers", [])
         self.by_word = (bool(form) and [n["type"] for n in form.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
                         and [p["type"] for p in parts] == ["Split", "ByteLevel"] and parts[0]["behavior"] == "Removed" and parts[0]["invert"]
                         and r"[^\s\p{L}\p{N}]+" in parts[0]["pattern"].get("Regex", "") and model.get("end_of_word_suffix") == "</w>"
-                        and not model.get("dropout"))
+                        and not model.get("dropout") and not any(t.get("normalized") for t in added))
         self.marks = {m: ids.tobytes() for m, ids in zip(",.", self._whole([",", "."]))}
         names = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda item: item[1])
         self.sizes = np.zeros(names[-1][1] + 1, dtype=np.int64)  # bytes of a token; byte-level tokens have a character for each
         self.closes = np.zeros(names[-1][1] + 1, dtype=bool)
         for name, number in names:
-            self.sizes[number], self.closes[number] = len(name), name.endswith("</w>")
+            self.sizes[number], self.closes[number] = len(name.encode()) if name in self.added else len(name), name.endswith("</w>")
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=IDS) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -114,6 +115,7 @@ class Encoder:
             words = [("\n" + t).replace("\n", " \n").split(" ")[1:] if t else [] for t in texts]
         else:
             words = [None if t else [] for t in texts]
+        words = [None if w and any(map(t.__contains__, self.added)) else w for w, t in zip(words, texts)]
         self._learn(set().union(*(w for w in words if w)))
         skip = 0 if self.by_word else 1
         found = [ids[skip:] if (ids := self._of_words(w)) is not None else None for w in words]
