@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -42,6 +43,31 @@ def test_pages(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("opening, closing", [
+    ("<article class='post hentry category-social'>", "</article>"), ("<div id=content class='with-sidebar'>", "</div>"),
+    ("<main class='main-content has-sidebar'>", "</main>"), ("<article class='entry no-comments'>", "</article>"),
+    ("<article class='post tag-legal'>", "</article>"), ("<article class='post comments-open'>", "</article>"), ("<div class='post-body hasSidebar'>", "</div>"), ("<svg><path d=x><article>", "</article>"),
+    ("<article><title>x<p>", "</article>"), ("<div><noscript><p>js</p></div><article>", "</article>"),
+    ("<template><div><template><p>no</p></template><p>no</p></div></template><article>", "</article>")])
+def test_articles_stay(opening, closing):
+    page = f"{opening}<p>{PROSE}</p><p>{PROSE}</p>{closing}<div class='left-sidebar'><p>{PROSE}</p></div><div class=site-footer><p>{PROSE}</p></div>"
+    assert main_text(page) == f"{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("opening", ["<div class='post-comments'>", "<div id=cookie-notice>", "<div class='widget-area'>", "<article class='comment byuser'>",
+                                     "<div class='main-menu'>", "<section class=relatedPosts>", "<noscript>", "<div class='newsletter-signup has-image'>"])
+def test_what_stands_beside_goes(opening):
+    assert main_text(f"<article><p>{PROSE}</p></article>{opening}<p>{PROSE}</p>") == PROSE
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</p>" * 100_000, "<svg>" + "<div>" * 100_000 + "</p>" * 100_000,
+                                  "<noscript>" + "<div>" * 100_000 + "</p></div>" * 100_000])
+def test_deep_pages_take_linear_time(page):
+    start = time.perf_counter()
+    assert main_text(page + f"<article><p>{PROSE}</p></article>" if not page.startswith("<nos") else page) in (PROSE, "")
+    assert time.perf_counter() - start < 10
+
+
 def test_query_matches_sql(spark, duck, small):
     assert difference(spark, duck, small, catalog.QUERIES["op5_main_text"], catalog.ORACLES["op5_main_text"]) is None
 

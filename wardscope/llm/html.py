@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -15,17 +15,23 @@ BLOCKS = frozenset("""address article aside blockquote body button caption cente
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td textarea tfoot
 th thead tr ul""".split())
 HIDDEN = frozenset("script style template noscript iframe object svg math canvas audio video title".split())
+#: Of these, elements that cannot hold a block, so that one ends them where their end tag is missing.
+INLINE_ONLY = frozenset("svg math title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements and landmark roles that hold no article text.
 APART = frozenset("nav footer aside form menu button select option textarea dialog search fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-#: Parts of class and id names that tell what stands beside an article.
+#: Class and id names, or first or last parts of such names, that tell what stands beside an article.
 BESIDE = frozenset("""ad ads adv advert adverts advertisement adbox banner cookie cookies consent gdpr notice notices alert sidebar widget widgets promo
 promotion sponsor sponsored related recommended recommendations share sharing social comment comments disqus reply replies respond breadcrumb
 breadcrumbs pagination pager menu nav navbar navigation footer header masthead topbar toolbar popup modal overlay newsletter subscribe subscription
 signup login search skip copyright legal""".split())
-OWN = frozenset("article post entry content story".split())
+OWN = frozenset("article post hentry entry content story main".split())
+#: Parts that make what follows a property of the element and not its kind: has-sidebar, category-social, no-comments.
+PROPERTIES = frozenset("has have with without no not non is in on off show hide hidden enable enabled disable disabled category cat tag tagged topic type format status author lang theme".split())
+#: An article by one of these names is none.
+SIDE_ARTICLES = frozenset("comment comments reply replies respond ad advert advertisement promo promotion sponsor sponsored related recommended widget".split())
 EDGE_NAMES = frozenset("header footer banner".split())
 
 #: Costs of the classifier: what each feature adds for content (above zero) or boilerplate (below).
@@ -34,6 +40,16 @@ BIAS, IN_ARTICLE, PARAGRAPH, HEADING, PER_WORD, WORDS_AT_MOST, LINKS, BESIDE_ART
 NEAR, FAR, PARENT = 1.0, 0.25, 0.3
 
 
+def kinds(names: str) -> set[str]:
+    """What the names of an element call it: of each the first and last of its parts before any property."""
+    found = set()
+    for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", names).lower().split():
+        parts = re.findall(r"[a-z]+", name)
+        size = next((k for k, part in enumerate(parts) if part in PROPERTIES), len(parts))
+        found.update(parts[:1] if size else [], parts[size - 1:size] if size else [])
+    return found
+
+
 class Page(HTMLParser):
     """Blocks of a page in order: text, costs and the element that holds them."""
 
@@ -41,7 +57,10 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, float, int]] = []
         self.open: list[tuple[str, float, bool, int]] = [("", 0.0, False, 0)]  # tag, costs of what stands apart, in an article, number
+        self.tags: Counter[str] = Counter()  # open elements by tag
         self.count, self.hidden, self.link = 0, "", False
+        self.inside: list[str] = []  # elements open in the hidden one
+        self.within: Counter[str] = Counter()  # the same by tag
         self.parts: list[str] = []
         self.linked = 0
 
@@ -64,14 +83,28 @@ class Page(HTMLParser):
         own = {k: v or "" for k, v in attrs}
         if own.get("role", "").lower() in ROLES or "hidden" in own or own.get("aria-hidden") == "true" or re.search(r"display:\s*none", own.get("style", "")):
             return True
-        names = set(re.findall(r"[a-z]+", f"{own.get('class', '')} {own.get('id', '')}".lower()))
+        names = kinds(f"{own.get('class', '')} {own.get('id', '')}")
+        if tag in ("article", "main") or own.get("role") == "main" or own.get("itemprop") == "articleBody":
+            return tag == "article" and bool(names & SIDE_ARTICLES) and not names & OWN
         return bool(names & BESIDE and not (names & OWN and names & BESIDE <= EDGE_NAMES))
 
+    def show(self) -> None:
+        """Leave the hidden element."""
+        self.hidden, self.inside, self.within = "", [], Counter()
+
+    def close_down_to(self, depth: int) -> None:
+        """Close the open elements from ``depth`` on."""
+        self.tags.subtract(tag for tag, *_ in self.open[depth:])
+        del self.open[depth:]
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.hidden:
-            if tag != "body":
+            if tag != "body" and not (self.hidden in INLINE_ONLY and tag in BLOCKS):
+                if tag in HIDDEN or tag in BLOCKS and tag not in VOID:
+                    self.inside.append(tag)
+                    self.within[tag] += 1
                 return
-            self.hidden = ""
+            self.show()
         if tag in HIDDEN:
             self.hidden = tag
         elif tag == "br":
@@ -84,25 +117,32 @@ class Page(HTMLParser):
                 return
             last = self.open[-1][0]
             if last in HEADINGS and tag in HEADINGS or last == "p" or last == tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
-                self.open.pop()
+                self.close_down_to(len(self.open) - 1)
             _, cost, article, _ = self.open[-1]
             self.count += 1
+            self.tags[tag] += 1
             self.open.append((tag, cost + BESIDE_ARTICLE * self.apart(tag, attrs, article),
                               article or tag in ("article", "main") or any(k == "role" and v == "main" or k == "itemprop" and v == "articleBody" for k, v in attrs), self.count))
 
     def handle_endtag(self, tag: str) -> None:
         if self.hidden:
+            while self.within[tag]:
+                last = self.inside.pop()
+                self.within[last] -= 1
+                if last == tag:
+                    return
             if tag == self.hidden:
-                self.hidden = ""
-            return
+                self.show()
+                return
+            if not self.tags[tag]:
+                return
+            self.show()  # the end of an element around it
         if tag == "a":
             self.link = False
         elif tag in BLOCKS:
             self.flush()
-            for k in range(len(self.open) - 1, 0, -1):
-                if self.open[k][0] == tag:
-                    del self.open[k:]
-                    break
+            if self.tags[tag]:  # the walk is paid for by what it closes
+                self.close_down_to(next(k for k in range(len(self.open) - 1, 0, -1) if self.open[k][0] == tag))
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
