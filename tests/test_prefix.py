@@ -11,8 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wardscope.operators import windows as win
-from wardscope.operators.prefix import sorted_codes
-from wardscope.operators.quantiles import exact_quantiles
+from wardscope.operators.prefix import range_totals, sorted_codes
+from wardscope.operators.quantiles import CUTS, SKETCH_ACCURACY, exact_quantiles
 from wardscope.operators.sampling import stable_sample, stratified_folds, stratified_split
 
 DAY0 = dt.datetime(2024, 3, 1)
@@ -148,3 +148,36 @@ def test_codes_of_values_with_one_common_prefix_are_spread(spark):
     df = spark.range(5000).select(F.format_string("https://example.org/%06d", F.col("id") * 7).alias("w"))
     found = [(r.w, r.code) for r in sorted_codes(df, "w", "code").collect()]
     assert [c for _, c in sorted(found)] == list(range(5000))
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_range_totals_equal_a_plain_window(spark, keys):
+    r = random.Random(4)
+    rows = [(i, r.choice(["hot", "hot", "hot", "a", None]), r.random(), r.choice([1, 5, None])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "i int, k string, v double, n int")
+    found = {x.i: (x.t, x.n_before) for x in range_totals(df, keys, [-F.col("v")], {"t": F.col("n"), "n_before": F.lit(1)}).collect()}
+    window = Window.partitionBy(*keys).orderBy(-F.col("v")).rowsBetween(Window.unboundedPreceding, -1)
+    plain = df.select("i", F.coalesce(F.sum("n").over(window), F.lit(0)).alias("t"), F.count(F.lit(1)).over(window).alias("c")).collect()
+    assert found == {x.i: (x.t, x.c) for x in plain}
+    assert range_totals(df.limit(0), keys, [F.col("v")], {"t": F.col("n")}).count() == 0
+
+
+def test_one_key_is_spread_over_ranges(spark, monkeypatch):
+    from wardscope.operators import prefix
+
+    kept = []
+    plain = prefix.stored
+    monkeypatch.setattr(prefix, "stored", lambda df: kept.append(plain(df)) or kept[-1])
+    frame = spark.range(40_000).select(F.lit("one").alias("k"), (F.col("id") * 7919 % 40_009).alias("v"))
+    assert range_totals(frame, ["k"], [F.col("v")], {"t": F.lit(1)}).agg(F.max("t")).first()[0] == 39_999
+    sizes = [x["count"] for x in kept[0].groupBy("_range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2.5 * 40_000 / len(sizes)
+
+
+def test_quantile_cuts_follow_ranks_not_values(spark):
+    """One value far out leaves what has to be ordered as small as it is without it."""
+    rows = spark.range(50_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, 1e300).otherwise(F.col("id") / 50_000).alias("v"))
+    assert exact_quantiles(rows, ["k"], "v", 0.5, "q").first().q == pytest.approx(rows.agg(F.percentile("v", 0.5)).first()[0], rel=1e-15)
+    cuts = rows.agg(F.percentile_approx("v", [0.5 + s / SKETCH_ACCURACY for s in CUTS], SKETCH_ACCURACY)).first()[0]
+    assert rows.filter((F.col("v") >= cuts[0]) & (F.col("v") < cuts[-1])).count() < 1500
+    assert exact_quantiles(rows, ["k"], "v", 0.5, "q", accuracy=2).first().q == exact_quantiles(rows, ["k"], "v", 0.5, "q").first().q

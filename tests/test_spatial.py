@@ -84,6 +84,22 @@ def test_dbscan(spark, seed, eps, need):
     assert found == brute_dbscan(points, eps, need)
 
 
+@pytest.mark.parametrize(("seed", "pairs"), [(1, 1), (2, 1), (3, 30), (4, 4096)])
+def test_links_of_cells_by_boxes(spark, seed, pairs):
+    """Dense cells whose points lie just within or just beyond eps of each other, and repeated places."""
+    r = random.Random(seed)
+    eps, side = 1.0, 1.0 / math.sqrt(2)
+    points = [(r.choice([0, 1, 2, -2]) * side * 1.2 + r.choice([r.uniform(0, 0.4), 0.1]), r.choice([0, 1.5, -1.1]) + r.uniform(0, 0.3)) for _ in range(400)]
+    points += [(0.0, 9.0), (1.0, 9.0), (0.0, 20.0), (math.nextafter(1.0, 2), 20.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, x double, y double").withColumns(
+        {f"c{axis}": F.floor(F.col(axis) / side) for axis in "xy"}).withColumn("cell", F.concat_ws(",", "cx", "cy"))
+    cells = {row.i: row.cell for row in df.collect()}
+    wanted = {(cells[i], cells[j]) for i, p in enumerate(points) for j, q in enumerate(points)
+              if cells[i] < cells[j] and math.sqrt((p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2) <= eps}
+    found = [(e.src, e.dst) for e in spatial._cell_links(df, side, eps, pairs).collect()]
+    assert set(found) == wanted and len(found) == len(wanted) and ("0,12", "1,12") in wanted and ("0,28", "1,28") not in wanted
+
+
 def test_clusters_of_rows(spark):
     rows = [(i, 41.0 + (i % 2), -87.0) for i in range(60)] + [(60, None, -87.0)]
     df = spark.createDataFrame(rows, "id int, Latitude double, Longitude double")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardscope.operators.prefix import PriorTotals, prior_totals, quantile_splitters, splitter_bucket
+from wardscope.operators.prefix import range_totals
 from wardscope.schema import quoted
 
 
@@ -18,10 +18,7 @@ def _cumulative(df: DataFrame, score: str, label: str, keys: Sequence[str] = ())
     """Per distinct score: true and false positives when everything from that score up is called positive."""
     counted = df.groupBy(*keys, F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
-    cuts = quantile_splitters(counted, "threshold")
-    spec = PriorTotals(list(keys), {"tp": F.col("_pos"), "fp": F.col("_neg")}, inclusive=True)
-    falling = prior_totals(counted, [spec], -splitter_bucket(F.col("threshold"), cuts), -F.col("threshold"),
-                           F.md5(F.col("threshold").cast("string")))
+    falling = range_totals(counted, keys, [-F.col("threshold")], {"tp": F.col("_pos"), "fp": F.col("_neg")}, inclusive=True)
     totals = counted.groupBy(*keys).agg(F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"))
     if keys:
         return falling.join(totals, list(keys))

@@ -91,9 +91,12 @@ def coordinate_names(df: DataFrame) -> tuple[str, str] | None:
 def centroid_median(df: DataFrame, key: str) -> DataFrame:
     """Median coordinates per key over the rows that have both."""
     lat, lng = coordinate_names(df)
-    located = df.filter(F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(key, lat, lng)
-    medians = [exact_quantiles(located, [key], name, 0.5, out) for name, out in ((lat, "Latitude"), (lng, "Longitude"))]
-    return medians[0].join(medians[1], key)
+    located = df.filter(F.col(key).isNotNull() & F.col(lat).isNotNull() & F.col(lng).isNotNull()).select(key, lat, lng)
+    # Both measures in one pass.
+    cells = F.explode(F.array(*(F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_x")) for i, c in enumerate((lat, lng)))))
+    stacked = located.select(key, cells.alias("_c")).select(key, "_c.*")
+    found = exact_quantiles(stacked, [key, "_m"], "_x", 0.5, "_median").groupBy(key)
+    return found.agg(*(F.max(F.when(F.col("_m") == i, F.col("_median"))).alias(out) for i, out in enumerate(("Latitude", "Longitude"))))
 
 
 def global_quantile_cap(df: DataFrame, column: str, flag: str, capped: str, quantile: float = 0.995) -> DataFrame:

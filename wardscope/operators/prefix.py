@@ -127,22 +127,27 @@ def _add_totals(rows: DataFrame, keys: list[str], names: Sequence[str], inclusiv
     return found.filter("_rank = 1").drop("_rank", "_hot", *part)
 
 
-def quantile_splitters(df: DataFrame, column: str, parts: int = 64) -> list[float]:
-    """Values that cut ``column`` into parts of about equal size: ``parts`` numbers, whatever the data size.
-
-    They only decide which task handles a row. Results do not depend on how good the sketch is.
+def range_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], measures: Mapping[str, Column],
+                 inclusive: bool = False) -> DataFrame:
+    """``df`` with the totals of ``measures`` over the rows of the same ``keys`` that come before in ``order``.
+
+    For keys that are few, or none: rows are dealt out by sampled ranges of keys and order and stored, totalled inside
+    their range, and shifted by the totals of the ranges before. There are as many ranges as shuffle partitions, so that
+    they grow in number with the cluster, not in rows; a key of any size is spread, with one key or none all the same. Only rows
+    equal in all of ``order`` have to share a range, and come in any order there.
     """
-    points = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(quoted(column).cast("double"), points, 1000)).first()[0]
-    return sorted(set(found or []))
-
-
-def splitter_bucket(column: Column, splitters: Sequence[float]) -> Column:
-    """Number of splitters that are not above the value."""
-    if not splitters:
-        return F.lit(0)
-    limits = F.array(*(F.lit(float(s)) for s in splitters))
-    return F.size(F.filter(limits, lambda limit: limit <= column))
+    names, by = list(measures), [quoted(k) for k in keys]
+    sort = {f"_o{i}": c for i, c in enumerate(order)}
+    rows = df.withColumns({**sort, **_measures(measures)})
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    placed = stored(rows.repartitionByRange(parts, *by, *sort).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range", *by).agg(*(F.sum(f"_m_{n}").alias(f"_s_{n}") for n in names))
+    earlier = _before(keys, ["_range"])  # at most one total per range and key that reaches into it
+    starts = sizes.select("_range", *by, *(F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_s_{n}") for n in names))
+    inside = _before([*keys, "_range"], [*sort], inclusive)
+    found = placed.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_m_{n}").over(inside), F.lit(0)) for n in names})
+    found = null_safe_join(found, starts, [*keys, "_range"], "inner").withColumns({n: F.col(f"_i_{n}") + F.col(f"_s_{n}") for n in names})
+    return found.drop("_range", *sort, *(f"{p}{n}" for p in ("_m_", "_i_", "_s_") for n in names))
 
 
 def sorted_codes(values: DataFrame, column: str, code: str) -> DataFrame:

@@ -11,24 +11,33 @@ from wardscope.operators.joins import null_safe_join
 from wardscope.schema import quoted
 
 
+# Rank error of the sketch that cuts a group, as a share of its rows: one in this many.
+SKETCH_ACCURACY = 10_000
+# Distances from the wanted rank at which a group is cut, in units of the sketch's error.
+CUTS = (-64, -8, -2, 0, 2, 8, 64)
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, quantile: float, out: str,
-                    buckets: int = 4096) -> DataFrame:
+                    accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Linearly interpolated quantile per group, the same number ``percentile`` gives.
 
-    Equal values are counted together first. The value range of a group is cut into buckets, the running
-    totals of the buckets tell which one or two hold the wanted ranks, and only their values are ordered.
+    Equal values are counted together. A mergeable sketch per group gives values of about the wanted rank, which cut the
+    group into buckets by rank, however its values are spread: the totals of the buckets tell which one or two
+    hold the wanted ranks, and only their values, a few parts in ``accuracy`` of the group, are ordered. The sketch only
+    decides where a group is cut; the result is exact for any cuts.
     """
     by = [quoted(k) for k in keys]
     values = (df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    ranges = values.groupBy(*by).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_rows"))
-    share = F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low"))
+    points = sorted({min(1.0, max(0.0, quantile + step / accuracy)) for step in CUTS})
+    ranges = (df.filter(F.col(column).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.percentile_approx(
+        F.col(column).cast("double"), points, accuracy).alias("_cuts")))
     placed = null_safe_join(values, ranges, keys, "inner").withColumn(
-        "_bucket", F.coalesce(F.floor(share * buckets), F.lit(0)))
+        "_bucket", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_v")))).drop("_cuts")
     position = F.lit(quantile) * (F.col("_rows") - 1)
     placed = placed.withColumns({"_first": F.floor(position), "_last": F.ceil(position), "_at": position})
 
-    # A group has at most buckets + 1 totals.
+    # A group has at most one total more than cuts.
     sizes = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"), F.first("_first").alias("_f"),
                                                F.first("_last").alias("_l"))
     up_to = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardscope.operators.aggregates import first_by
@@ -115,8 +116,8 @@ def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples:
     The grid has cells of side eps/√2, so points of one cell are all within eps of each other. A cell whose
     weight reaches ``min_samples`` is core as a whole without comparing its points; only points of lighter
     cells, fewer than ``min_samples`` of them each, are compared with the cells around. Components are built
-    over cells. Clusters are numbered by their least core key; a border point takes the least cluster it
-    touches.
+    over cells, whose links come from ever finer boxes (``_cell_links``). Clusters are numbered by their least
+    core key; a border point takes the least cluster it touches.
     """
     side = eps / math.sqrt(2)
     placed = points.select(key, F.col(x).alias("x"), F.col(y).alias("y"), F.col(weight).alias("w")).withColumns(
@@ -142,13 +143,11 @@ def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples:
     core = placed.join(reached, key, "left").filter(F.col("dense") | (F.col("_reach") >= min_samples))
     core = cut_lineage(core.select(key, "x", "y", "w", "cx", "cy", "cell"))
 
-    links = neighbours(core, core).filter("a_cell < b_cell").select(
-        F.col("a_cell").alias("src"), F.col("b_cell").alias("dst")).distinct()
+    links = _cell_links(core, side, eps)
     labels = connected_components(core.select("cell"), links, "cell")
     member = core.join(labels, "cell")
-    order = member.groupBy("label").agg(F.min(key).alias("least"))
-    ranks = order.select("label", F.count(F.lit(1)).over(
-        _all_before("least")).cast("int").alias(out))
+    order = cut_lineage(member.groupBy("label").agg(F.min(key).alias("least")))
+    ranks = order.join(sorted_codes(order, "least", out), "least").select("label", out)
     member = member.join(ranks, "label").select(key, "x", "y", "w", "cx", "cy", "cell", out)
 
     border = placed.join(core.select(key), key, "left_anti")
@@ -159,9 +158,73 @@ def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples:
     return points.select(key).join(found, key, "left").select(key, F.coalesce(out, F.lit(-1)).alias(out))
 
 
-def _all_before(order: str) -> WindowSpec:
-    """All earlier rows; used on the list of clusters, which is far smaller than the points."""
-    return Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+# Two boxes with at most this many pairs of points have their points compared; others are divided again.
+BOX_PAIRS = 4096
+# Sides of a box are halved twice a level, so that the finest is a cell's side divided by 4 to this power.
+BOX_LEVELS = 12
+
+
+def _cell_links(core: DataFrame, side: float, eps: float, box_pairs: int = BOX_PAIRS) -> DataFrame:
+    """Pairs ``src < dst`` of cells that hold two points at most ``eps`` apart.
+
+    Cells are compared by the boxes around their points: boxes whose far corners are within ``eps`` are linked, boxes
+    whose near sides are not are apart, whatever points they hold. Pairs that are neither are divided into 4 x 4 smaller
+    boxes on each side and compared again, unless some pair of boxes has linked their cells already. How many pairs stay
+    open depends on the outline of the points, not on their number: points are only ever compared where a pair of
+    boxes holds at most ``box_pairs`` pairs of them (or at the finest level). Rounding is monotone, so that boxes never
+    contradict the distance of two points.
+    """
+    def boxes(level: int) -> DataFrame:
+        # A power of two as factor is exact, so that a smaller box always lies inside one larger box.
+        place = [F.floor(F.col(axis) / side * float(4 ** level)).alias(f"s{axis}") for axis in "xy"]
+        return core.select("cell", "cx", "cy", "x", "y", *place)
+
+    def bounds(points: DataFrame) -> DataFrame:
+        return points.groupBy("cell", "cx", "cy", "sx", "sy").agg(F.count(F.lit(1)).alias("n"), *(
+            f(axis).alias(f"{name}_{axis}") for axis in "xy" for name, f in (("low", F.min), ("high", F.max))))
+
+    def sided(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+        return df.select(*(F.col(c).alias(f"{name}_{c}") for c in columns))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        near, far = [], []
+        for axis in "xy":
+            up, down = (F.col(f"{p}_low_{axis}") - F.col(f"{q}_high_{axis}") for p, q in (("a", "b"), ("b", "a")))
+            near.append(F.greatest(up, down, F.lit(0.0)))
+            far.append(F.greatest(-up, -down))
+        length = [F.sqrt(d[0] * d[0] + d[1] * d[1]) for d in (near, far)]
+        marked = pairs.filter(length[0] <= eps).withColumn("linked", length[1] <= eps)
+        return marked.select("a_cell", "a_sx", "a_sy", "a_n", "b_cell", "b_sx", "b_sy", "b_n", "linked")
+
+    cells = bounds(boxes(0))
+    columns = cells.columns
+    steps = [F.explode(F.transform(F.array(*map(F.lit, range(-2, 3))), lambda s: F.col(f"a_c{axis}") + s)).alias(f"n{axis}") for axis in "xy"]
+    around = sided(cells, "a", columns).select("*", steps[0]).select("*", steps[1])
+    near = sided(cells, "b", columns).withColumns({"nx": F.col("b_cx"), "ny": F.col("b_cy")})
+    state = cut_lineage(judged(around.join(near, ["nx", "ny"]).filter("a_cell < b_cell")))
+    ids = ["a_cell", "b_cell"]
+    links, small = [], []
+    for level in range(BOX_LEVELS + 1):
+        found = state.filter("linked").select(*ids).distinct()
+        links.append(found)
+        left = state.filter("not linked").join(found, ids, "left_anti")
+        fits = (F.col("a_n") * F.col("b_n") <= box_pairs) if level < BOX_LEVELS else F.lit(True)
+        small.append((level, left.filter(fits)))
+        large = left.filter(~fits)
+        if level == BOX_LEVELS or large.isEmpty():
+            break
+        finer = bounds(boxes(level + 1)).drop("cx", "cy")
+        parts = [sided(finer, p, finer.columns).withColumns({f"{p}_up{axis}": F.shiftright(f"{p}_s{axis}", 2) for axis in "xy"}) for p in "ab"]
+        open_ = large.select(*ids, *(F.col(f"{p}_s{axis}").alias(f"{p}_up{axis}") for p in "ab" for axis in "xy"))
+        divided = open_.join(parts[0], ["a_cell", "a_upx", "a_upy"]).join(parts[1], ["b_cell", "b_upx", "b_upy"])
+        state = cut_lineage(judged(divided))
+    for level, pairs in small:
+        points = boxes(level)
+        a, b = (sided(points, p, ["cell", "sx", "sy", "x", "y"]) for p in "ab")
+        dx, dy = F.col("a_x") - F.col("b_x"), F.col("a_y") - F.col("b_y")
+        met = pairs.join(a, ["a_cell", "a_sx", "a_sy"]).join(b, ["b_cell", "b_sx", "b_sy"]).filter(F.sqrt(dx * dx + dy * dy) <= eps)
+        links.append(met.select(*ids).distinct())
+    return reduce(DataFrame.unionByName, links).select(F.col("a_cell").alias("src"), F.col("b_cell").alias("dst")).distinct()
 
 
 def spatial_clusters(df: DataFrame, ids: Sequence[str], lat: str = "Latitude", lng: str = "Longitude",

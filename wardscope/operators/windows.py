@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardscope.functions.calendar import epoch_seconds
 from wardscope.operators.joins import null_safe_join
-from wardscope.operators.prefix import HOT_ROWS, PriorTotals, prior_totals, sorted_codes, tie_hash
+from wardscope.operators.prefix import HOT_ROWS, PriorTotals, prior_totals, range_totals, sorted_codes, tie_hash
 from wardscope.schema import quoted
 
 DAY = 86_400
@@ -159,11 +159,10 @@ def category_codes(df: DataFrame, column: str, out: str) -> DataFrame:
 def positional_slice(df: DataFrame, keys: Sequence[str], order: str, fraction: float, out: str) -> DataFrame:
     """True for the first ``fraction`` of all rows in the order of keys, then ``order``; at least one row.
 
-    Positions are the key totals before plus the position inside the key, so the rows are not sorted by
-    one task.
+    Positions come from sampled ranges, so that neither the rows nor the list of keys passes through one task.
+    Rows equal in keys and order are taken by a hash of the whole row.
     """
-    ordered = F.struct(*(quoted(k) for k in keys))  # keeps the type, so that 9 comes before 10
-    placed = prior_totals(df, [PriorTotals([], {"_before": F.lit(1)})], ordered, F.col(order),
-                          tie_hash([F.col(order).cast("string")]))
+    tie = F.xxhash64(*(quoted(c) for c in df.columns))
+    placed = range_totals(df, [], [*(quoted(k) for k in keys), F.col(order), tie], {"_before": F.lit(1)})
     total = df.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(fraction))).alias("n")).scalar()
     return placed.withColumn(out, F.col("_before") < total).drop("_before")
