@@ -21,33 +21,31 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, quantile: f
                     accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Linearly interpolated quantile per group, the same number ``percentile`` gives.
 
-    Equal values are counted together. A mergeable sketch per group gives values of about the wanted rank, which cut the
-    group into buckets by rank, however its values are spread: the totals of the buckets tell which one or two
-    hold the wanted ranks, and only their values, a few parts in ``accuracy`` of the group, are ordered. The sketch only
-    decides where a group is cut; the result is exact for any cuts.
+    A mergeable sketch per group gives values of about the wanted rank, which cut the group into buckets by rank, however
+    its values are spread: the totals of the buckets tell which one or two hold the wanted ranks, and only their
+    values, a few parts in ``accuracy`` of the group, are exchanged (equal ones counted together) and ordered. The sketch
+    only decides where a group is cut; the result is exact for any cuts.
     """
     by = [quoted(k) for k in keys]
-    values = (df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
+    rows = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_v"))
     points = sorted({min(1.0, max(0.0, quantile + step / accuracy)) for step in CUTS})
-    ranges = (df.filter(F.col(column).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.percentile_approx(
-        F.col(column).cast("double"), points, accuracy).alias("_cuts")))
-    placed = null_safe_join(values, ranges, keys, "inner").withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_v")))).drop("_cuts")
+    facts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.percentile_approx("_v", points, accuracy).alias("_cuts"))
     position = F.lit(quantile) * (F.col("_rows") - 1)
-    placed = placed.withColumns({"_first": F.floor(position), "_last": F.ceil(position), "_at": position})
+    facts = facts.select(*by, "_cuts", F.floor(position).alias("_first"), F.ceil(position).alias("_last"), position.alias("_at"))
+    placed = null_safe_join(rows, facts.select(*by, "_cuts"), keys, "inner").withColumn(
+        "_bucket", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_v")))).drop("_cuts")
 
     # A group has at most one total more than cuts.
-    sizes = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"), F.first("_first").alias("_f"),
-                                               F.first("_last").alias("_l"))
+    sizes = null_safe_join(placed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size")), facts.drop("_cuts"), keys, "inner")
     up_to = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sizes = sizes.withColumn("_end", F.sum("_size").over(up_to))
-    wanted = sizes.filter((F.col("_end") > F.col("_f")) & (F.col("_end") - F.col("_size") <= F.col("_l")))
-    wanted = wanted.select(*by, "_bucket", (F.col("_end") - F.col("_size")).alias("_start"))
+    wanted = sizes.filter((F.col("_end") > F.col("_first")) & (F.col("_end") - F.col("_size") <= F.col("_last")))
+    wanted = wanted.select(*by, "_bucket", "_first", "_last", "_at", (F.col("_end") - F.col("_size")).alias("_start"))
 
-    inside = null_safe_join(placed, wanted, [*keys, "_bucket"], "inner")
+    inside = null_safe_join(placed, wanted.select(*by, "_bucket"), [*keys, "_bucket"], "inner")
+    counted = null_safe_join(inside.groupBy(*by, "_bucket", "_v").agg(F.count(F.lit(1)).alias("_n")), wanted, [*keys, "_bucket"], "inner")
     run = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("_until", F.col("_start") + F.sum("_n").over(run))
+    ranked = counted.withColumn("_until", F.col("_start") + F.sum("_n").over(run))
 
     def at(rank: str):
         return F.min(F.when(F.col("_until") > F.col(rank), F.col("_v")))

@@ -205,9 +205,10 @@ def _cell_links(core: DataFrame, side: float, eps: float, box_pairs: int = BOX_P
     ids = ["a_cell", "b_cell"]
     links, small = [], []
     for level in range(BOX_LEVELS + 1):
-        found = state.filter("linked").select(*ids).distinct()
-        links.append(found)
-        left = state.filter("not linked").join(found, ids, "left_anti")
+        links.append(state.filter("linked").select(*ids))
+        left = state.filter("not linked")
+        if level:  # cells themselves come in one pair each
+            left = left.join(links[-1], ids, "left_anti")
         fits = (F.col("a_n") * F.col("b_n") <= box_pairs) if level < BOX_LEVELS else F.lit(True)
         small.append((level, left.filter(fits)))
         large = left.filter(~fits)
