@@ -15,7 +15,7 @@ from wardscope.plans.engineer import daily_features, stage3
 from wardscope.plans.features import stage2
 from wardscope.plans.hotspots import hotspots
 from wardscope.plans.preprocess import stage1
-from wardscope.plans.type_classifier import LEAKING, type_classifier
+from wardscope.plans.type_classifier import LEAKING, TypeModel, type_classifier
 from wardscope.sources import read_table, row_counts, write_partitioned
 
 
@@ -140,6 +140,16 @@ def test_type_classifier(tables, tmp_path):
     assert run.predictions.count() == clean.filter("Date_TS >= '2024-01-22'").count()
     run.write(str(tmp_path / "types"))
     spark = clean.sparkSession
+    bundle = TypeModel.load(clean, str(tmp_path / "types" / "bundle"))
+    late = clean.filter("Date_TS >= '2024-01-22'")
+    given = {r.ID: (r.predicted, r.probability) for r in bundle.predict(late.withColumn("predicted", F.lit("x"))).collect()}
+    wanted = run.predictions.groupBy("predicted", F.col("probability").cast("string")).count().collect()
+    assert len(given) == late.count() and bundle.features == run.features and set(bundle.encoders) == set(run.bundle.encoders)
+    rows = spark.createDataFrame([(p, q) for p, q in given.values()], "predicted string, probability array<double>")
+    assert sorted(rows.groupBy("predicted", F.col("probability").cast("string")).count().collect()) == sorted(wanted)
+    texts = run.bundle.encoders or {"none": None}
+    odd = late.limit(3).drop("hint").withColumns({c: F.lit("never seen") for c in texts})
+    assert bundle.predict(odd).filter("predicted is not null").count() == 3
     assert spark.read.csv(str(tmp_path / "types" / "best_and_worst_class"), header=True).count() == 1
     assert spark.read.csv(str(tmp_path / "types" / "training_history"), header=True).count() == 2
     again = MulticlassTrees.load(clean, str(tmp_path / "types" / "model"))
