@@ -23,3 +23,19 @@ def test_copies(spark, text, item):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     (row,) = contamination(docs, items).collect()
     assert row.item_id == item and row.contaminated == (item is not None)
+
+
+def test_every_item_of_a_template_counts(spark):
+    """Items that share each short window, but whose slots far apart are equal in one and different in the other."""
+    words = "a shop sells {} boxes of very ripe red apples and then {} more before noon on"
+    items = spark.createDataFrame([(1, words.format(7, 7)), (2, words.format(7, 9)), (3, words.format(8, 9))], "item_id long, text string")
+    texts = [words.format(3, 5), words.format(3, 3), f"{FILLER} {words.format(3, 5)} {FILLER}", FILLER]
+    docs = spark.createDataFrame([(i, t, 0, 0, 0) for i, t in enumerate(texts)], "doc_id long, text string, hit_row int, hit_row_tokens int, hit_item int")
+
+    def found(known):
+        return [(r.matched_tokens, r.item_id) for r in sorted(contamination(docs, known).collect())]
+
+    nothing = (0, None)
+    assert found(items) == [(17, 2), (17, 1), (17, 2), nothing]
+    assert found(items.where("item_id = 1")) == [nothing, (17, 1), nothing, nothing]
+    assert found(items.where("item_id > 1")) == [(17, 2), nothing, (17, 2), nothing]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import filterfalse
 
 import numpy as np
@@ -170,8 +170,8 @@ def judge(hits: list[dict]) -> tuple[int, int | None]:
     return max(best for best, _ in found), min((item for _, item in found if item is not None), default=None)
 
 
-def runs(hits: list[dict]) -> tuple[int, int | None]:
-    """``judge`` for these windows together.
+def runs(hits: list[dict], strict: bool = True) -> tuple[int, int | None]:
+    """``judge`` for these windows together; without ``strict`` slots may be filled in any way.
 
     A run is a row of matched windows without a gap. Within it, windows that follow the same item in step must fill the
     item's slots one to one: equal values by equal values, others by others; where that breaks, a new run begins. Each form
@@ -186,7 +186,7 @@ def runs(hits: list[dict]) -> tuple[int, int | None]:
         step, there, back = states.get(h["form"], (None, {}, {}))
         if here != step:
             there, back = {}, {}
-        fits = all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs)
+        fits = not strict or all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs)
         if h["pos"] > stop or not fits or not stop:
             start, stop, need, low, there, back = h["pos"], 0, h["need"], h["item_id"], {}, {}
             states.clear()
@@ -200,6 +200,48 @@ def runs(hits: list[dict]) -> tuple[int, int | None]:
     return best, item
 
 
+def per_text(hits: DataFrame, judged: Callable, schema: str, *keys: str) -> DataFrame:
+    """``keys`` and the columns that ``judged`` makes of the column ``hit`` of each group."""
+    fields = [f.split() for f in schema.split(", ")]
+
+    def verdicts(found: pa.Array) -> pa.Array:
+        rows = [judged(h) for h in found.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.bool_() if kind == "boolean" else pa.int64())
+                                           for k, (_, kind) in enumerate(fields)], [name for name, _ in fields])
+
+    grouped = hits.groupBy(*keys).agg(F.collect_list("hit").alias("hits"))
+    return grouped.select(*keys, apply_arrow(hits, verdicts, schema, "hits").alias("v")).select(*keys, "v.*")
+
+
+HIT = ("pos", "width", "form", "slots", "item_id", "item_pos", "item_slots", "need")
+
+
+def second_look(found: DataFrame, hits: DataFrame, texts: DataFrame, items: DataFrame, width: int, min_run: int, least: int) -> DataFrame:
+    """``found``, with the texts whose run broke at a slot judged again by other items of the same templates.
+
+    Windows as wide as a run (or a whole shorter item) name them: a text that holds a run of an item shares such a window with
+    it, slot for slot, and one item a template and pattern of wide windows is enough. ``hits`` (windows of the texts) are then followed for each
+    of these items by itself, so a text costs its own windows times the few items it shares wide ones with.
+    """
+    broken = found.where("broken").select("row")
+    if broken.isEmpty():
+        return found
+    wide = max(width, min_run)
+    known = template_windows(items, [wide], whole_below=wide, least=least)
+    known = materialise(known.groupBy("hash", "width", "pattern").agg(F.min("row").alias("item_id")), "templates")
+    widths = sorted(w for (w,) in known.select("width").distinct().collect())  # at most ``wide`` different ones
+    shared = template_windows(texts.join(broken, "row", "left_semi"), widths, allowed=bit_map(known), least=least)
+    shared = materialise(shared.join(known, ["hash", "width", "pattern"]).select("row", "item_id").distinct(), "shared")
+    own = items.join(shared.select(F.col("item_id").alias("row")).distinct(), "row", "left_semi")
+    own = template_windows(own, [width], whole_below=width, least=least).select(
+        F.col("row").alias("item_id"), "hash", "width", "pattern", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
+        F.least(F.col("tokens"), F.lit(min_run)).alias("need"))
+    again = hits.join(broken, "row", "left_semi").join(shared.join(own, "item_id"), ["row", "hash", "width", "pattern"])
+    again = per_text(again.select("row", "item_id", F.struct(*HIT).alias("hit")), judge, "tokens long, item long", "row", "item_id")
+    again = again.groupBy("row").agg(F.max("tokens").alias("tokens"), F.min("item").alias("item"))
+    return found.join(again, "row", "left").select("row", F.greatest("matched_tokens", "tokens").alias("matched_tokens"), F.least("item_id", "item").alias("item_id"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", width: int = 8, min_run: int = 13, min_item: int = 5) -> DataFrame:
     """``docs`` with ``contaminated`` (boolean), ``matched_tokens`` and ``item_id``, the smallest item found (replaced if there).
@@ -216,7 +258,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
     The benchmark's hashes reach the tasks as a bit map of fixed size, so that few windows leave them; the exact join
     follows on a key that uneven data cannot overload, as each template has one row on the benchmark's side for each
-    pattern of its slots, whatever the number of items that share it.
+    pattern of its slots, whatever the number of items that share it. Documents whose run breaks at a slot of that one item
+    are looked up again in windows as wide as a run, which name the other items to follow.
     """
     docs, row = with_row(docs, doc_id)
     items = benchmark.select(F.col(item_id).cast("long").alias("row"), F.col(item_text).alias("text")).where("row IS NOT NULL AND text IS NOT NULL")
@@ -227,19 +270,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     widths = sorted(w for (w,) in known.select("width").distinct().collect())  # at most ``width`` different ones
     texts = docs.select(F.col(f"`{row}`").cast("long").alias("row"), F.col(f"`{text}`").alias("text"))
     hits = template_windows(texts, widths, allowed=bit_map(known), least=min_item).drop("tokens")
-    hits = hits.join(known, ["hash", "width", "pattern"]).select(
-        "row", F.struct("pos", "width", "form", "slots", "item_id", "item_pos", "item_slots", "need").alias("hit"))
-    per_row = hits.groupBy("row").agg(F.collect_list("hit").alias("hits"))
+    hits = materialise(hits.join(known, ["hash", "width", "pattern"]), "hits")
 
-    def verdicts(found: pa.Array) -> pa.Array:
-        best, item = zip(*(judge(h) for h in found.to_pylist())) if len(found) else ((), ())
-        return pa.StructArray.from_arrays([pa.array(best, pa.int64()), pa.array(item, pa.int64())], ["matched_tokens", "item_id"])
+    def judged_with_breaks(found: list[dict]) -> tuple[int, int | None, bool]:
+        best, item = judge(found)
+        return best, item, runs(found, strict=False)[0] > best
 
-    judged = per_row.select("row", apply_arrow(docs, verdicts, "matched_tokens long, item_id long", "hits").alias("v")).select("row", "v.*")
+    found = per_text(hits.select("row", F.struct(*HIT).alias("hit")), judged_with_breaks, "matched_tokens long, item_id long, broken boolean", "row")
+    judged = second_look(materialise(found, "verdicts"), hits.drop("item_id", "item_pos", "item_slots", "need"), texts, items, width, min_run, min_item)
     kept = [c for c in docs.columns if c.lower() not in ("contaminated", "matched_tokens", "item_id") and (c != row or row == doc_id)]
-    key = free_name(docs, "hit_row")
-    judged = judged.select(F.col("row").alias(key), F.col("matched_tokens").alias(f"{key}_tokens"), F.col("item_id").alias(f"{key}_item"))
+    key, n, item = (free_name(docs, c) for c in ("hit_row", "hit_tokens", "hit_item"))
+    judged = judged.select(F.col("row").alias(key), F.col("matched_tokens").alias(n), F.col("item_id").alias(item))
     joined = docs.join(judged, F.col(f"`{row}`").cast("long") == F.col(key), "left")
-    tokens = F.coalesce(F.col(f"{key}_tokens"), F.lit(0).cast("long"))
+    tokens = F.coalesce(F.col(n), F.lit(0).cast("long"))
     return joined.select(*(F.col(f"`{c}`") for c in kept), (tokens > 0).alias("contaminated"), tokens.alias("matched_tokens"),
-                         F.col(f"{key}_item").alias("item_id"))
+                         F.col(item).alias("item_id"))
