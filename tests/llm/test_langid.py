@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from wardscope.llm import catalog
-from wardscope.llm.langid import ORDER, Trees, grams, identify, tree
+from wardscope.llm.langid import ORDER, Trees, grams, identify, training_sample, tree
 
 
 def plain_bits(train, text):
@@ -68,3 +68,21 @@ def test_nulls_and_nothing_to_learn(spark):
     got = identify(frame)
     assert sorted(r.lang_pred for r in got.collect()) == ["und"] * 3 and len(got.columns) == 6
     assert identify(frame.limit(0)).collect() == []
+
+
+def test_long_texts_are_learned_from_in_pieces(spark):
+    french, english = "le chat est sur la table et il mange du pain ", "the cat sat on the mat and ate some bread "
+    rows = [(i, french * 2000, "fr") for i in range(12)] + [(100 + i, english * 3, "en") for i in range(40)]
+    docs = spark.createDataFrame(rows + [(500, "il est sur la table", None), (501, "ate on the mat", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify(docs).collect()}
+    assert {got[i] for i in range(12)} == {"fr"} and {got[100 + i] for i in range(40)} == {"en"} and (got[500], got[501]) == ("fr", "en")
+
+
+def test_bound_of_the_sample(spark):
+    same = spark.range(20_000).selectExpr("7L AS `d.id`", "concat('word ', id % 3) AS text", "'en' AS lang")
+    assert training_sample(same, "d.id", "text", "lang", sample_docs=50).count() == 50
+    long = spark.createDataFrame([(1, "abc" * 1000, "x"), (2, "", "x")], "id long, text string, lang string")
+    pieces = [r.text for r in training_sample(long, "id", "text", "lang", sample_chars=100).collect()]
+    assert sorted(map(len, pieces)) == [0] + [100] * 30 and set("".join(pieces)) == set("abc")
+    few = [r.text for r in training_sample(long, "id", "text", "lang", sample_docs=5, sample_chars=100).collect()]
+    assert len(few) == 5

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -102,26 +101,37 @@ class Trees:
 
 
 def held_out(doc_id: str) -> Column:
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, doc_id: str, text: str, lang: str, sample_docs: int = 300, sample_chars: int = 50_000, max_languages: int = 1000) -> Trees:
-    """Trees of all languages from a bounded sample: whole texts of at most ``sample_chars`` characters, and of these the
-    ``sample_docs`` documents of each language with the smallest hash of their id. The model is bounded likewise.
+def training_sample(docs: DataFrame, doc_id: str, text: str, lang: str, sample_docs: int = 300, sample_chars: int = 50_000,
+                    max_languages: int = 1000) -> DataFrame:
+    """Bounded sample ``lang, text``: texts are cut into pieces of ``sample_chars`` characters, and of each language the
+    ``sample_docs`` pieces with the smallest hash of id and place are taken (of equal ones by the hash of the piece).
 
-    Each tree is counted in a task of its own. Documents without text, language or id are not learned from.
+    Hashes alone find the limit of each language, so that only pieces below it are exchanged, and of pieces of one hash (rows
+    that share an id) no more than ``sample_docs`` a task. Rows without text, language or id give nothing.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("hash"))
-    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= sample_chars))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
+    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    starts = F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(sample_chars))
+    rows = rows.withColumn("at", F.explode(starts)).withColumn("hash", F.xxhash64("doc_id", "at"))
     order = Window.partitionBy("lang").orderBy("hash")
     limits = dict(rows.select("lang", "hash").withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs)
                   .groupBy("lang").agg(F.max("hash")).limit(max_languages + 1).collect())
     if len(limits) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not limits:
-        return Trees(pa.table({"lang": [], "depth": [], "kind": [], "code": pa.array([], pa.int64()), "bits": pa.array([], pa.float64())}))
+        return rows.select("lang", "text").limit(0)
     highest = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))
-    sample = rows.where(F.col("hash") <= highest[F.col("lang")]).select("lang", "text")
+    pieces = rows.where(F.col("hash") <= highest[F.col("lang")]).select("lang", "hash", F.expr(f"substring(text, at + 1, {sample_chars})").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", F.xxhash64("text")))
+    return pieces.withColumn("place", place).where(F.col("place") <= sample_docs).select("lang", "text")
+
+
+def fit(docs: DataFrame, doc_id: str, text: str, lang: str, **bounds: int) -> Trees:
+    """Trees of all languages from their ``training_sample``, each counted in a task of its own; the sample bounds the model."""
+    sample = training_sample(docs, doc_id, text, lang, **bounds)
 
     def count(table: pa.Table) -> pa.Table:
         parts = tree([t.encode() for t in table.column("text").to_pylist()])
@@ -137,7 +147,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """``docs`` with ``held_out``, ``lang_pred`` and ``score`` (replaced if there).
 
     For each value of ``lang`` a tree of byte contexts up to four bytes long is learned from documents with a language that
-    are not held out (those whose ``crc32`` of the id as text is 2 modulo 4 are), see ``fit``. A whole text is coded with
+    are not held out (those whose ``crc32`` of the id as text is 2 modulo 4 are), see ``training_sample``. A whole text is coded with
     each frozen tree, escaping to shorter contexts; the shortest code wins (the first in alphabetic order of equals), and
     ``score`` is its share of the likelihood of all. A null text or one without letters is ``und`` with score 0, as is all if
     nothing could be learned. A null id is not held out and not learned from. Repeated rows return as often as they occur.
