@@ -69,6 +69,17 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def frames_by_bytes(index: DataFrame, frames: DataFrame, size: Column, task_bytes: int = 32 << 20) -> DataFrame:
+    """``frames`` (``file, frame``) in as many tasks as the bytes behind the rows of ``index`` need, whatever their own size.
+
+    Neighbouring frames of a file stay together, four such groups to a task, so that a task opens few files.
+    """
+    total, count = index.agg(F.coalesce(F.sum(size), F.lit(0)), F.count_distinct("file", "frame")).first()
+    tasks = max(1, -(-int(total) // task_bytes))
+    together = max(1, count // (4 * tasks))
+    return frames.repartition(tasks, "file", F.floor(F.col("frame") / together)).sortWithinPartitions("file", "frame")
+
+
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]

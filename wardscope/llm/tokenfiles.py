@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardscope.llm.common import map_arrow
+from wardscope.llm.common import frames_by_bytes, map_arrow
 from wardscope.llm.encoding import IDS, encoder
 from wardscope.llm.seekable import SeekableReader, SeekableWriter
 
@@ -106,6 +106,6 @@ def read_ids(spark: SparkSession, folder: str, wanted: DataFrame | None = None,
             reader.close()
 
     schema = "file string, doc_id long, first long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    found = map_arrow(frames.repartition("file", "frame").sortWithinPartitions("file", "frame"), read, schema)
+    found = map_arrow(frames_by_bytes(index, frames, IDS.itemsize * F.col("n_tokens")), read, schema)
     shown = ["doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
     return found.join(base, "file").select(*shown)

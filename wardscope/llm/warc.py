@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardscope.llm.common import map_arrow
+from wardscope.llm.common import frames_by_bytes, map_arrow
 from wardscope.llm.seekable import SeekableReader, SeekableWriter
 
 INDEX = "page_id long, record_id string, file string, frame long, offset long, length long"
@@ -148,4 +148,4 @@ def read_archives(spark: SparkSession, folder: str, wanted: DataFrame | None = N
             reader.close()
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string" + (", payload binary" if with_payload else "")
-    return map_arrow(frames.repartition("file", "frame").sortWithinPartitions("file", "frame"), read, schema)
+    return map_arrow(frames_by_bytes(index, frames, F.col("length")), read, schema)
