@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,16 @@ def windows_of(df):
     from wardscope.operators.windows import positional_slice
 
     return {(r.k, r.day): r.first for r in positional_slice(df, ["k"], "day", 0.5, "first").collect()}
+
+
+def test_row_before_across_ranges(spark):
+    """A hot key in many ranges, null keys, null values and equal days, against plain windows."""
+    r = random.Random(3)
+    rows = [(i, r.choice(["hot"] * 8 + ["b", "c", None]), r.randrange(60) if i % 50 else None, r.choice([None, 1, 2, 3])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, k string, day int, n int")
+    got = {x.id: x.prev for x in win.prev_row(df, ["k"], ["day", "id"], "n", "prev").collect()}
+    wanted, last = {}, {}
+    for i, k, day, n in sorted(rows, key=lambda x: (x[2] is not None, x[2] or 0, x[0])):
+        wanted[i], last[k] = last.get(k), n
+    assert got == wanted
+    assert win.prev_row(df.limit(0), ["k"], ["day"], "n", "prev").count() == 0

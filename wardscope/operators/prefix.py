@@ -150,6 +150,24 @@ def range_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], me
     return found.drop("_range", *sort, *(f"{p}{n}" for p in ("_m_", "_i_", "_s_") for n in names))
 
 
+def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str) -> DataFrame:
+    """``df`` with ``value`` of the row before among the rows of the same ``keys`` in ``order``, null for the first.
+
+    Rows are dealt out by sampled ranges as in ``range_totals``, so one key may fill many tasks. The first row of a key in a
+    range takes the last value that the key has in the ranges before.
+    """
+    by, sort = [quoted(k) for k in keys], {f"_o{i}": c for i, c in enumerate(order)}
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = df.withColumns({**sort, "_value": F.struct(value.alias("v"))})  # a struct tells a null value from no row
+    placed = stored(rows.repartitionByRange(parts, *by, *sort).withColumn("_range", F.spark_partition_id()))
+    lasts = placed.groupBy("_range", *by).agg(F.max_by("_value", F.struct(*sort)).alias("_last"))
+    ahead = Window.partitionBy(*by).orderBy("_range")  # at most one row per range and key that reaches into it
+    carried = lasts.select("_range", *by, F.lag("_last").over(ahead).alias("_carried"))
+    inside = F.lag("_value").over(Window.partitionBy(*by, "_range").orderBy(*sort))
+    found = null_safe_join(placed.withColumn("_before", inside), carried, [*keys, "_range"], "inner")
+    return found.withColumn(out, F.coalesce("_before", "_carried")["v"]).drop("_range", "_value", "_before", "_carried", *sort)
+
+
 def sorted_codes(values: DataFrame, column: str, code: str) -> DataFrame:
     """Number the distinct non-null values of a text column from 0 in sorted order.
 

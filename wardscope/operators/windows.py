@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardscope.functions.calendar import epoch_seconds
 from wardscope.operators.joins import null_safe_join
-from wardscope.operators.prefix import HOT_ROWS, PriorTotals, prior_totals, range_totals, sorted_codes, tie_hash
+from wardscope.operators.prefix import HOT_ROWS, PriorTotals, previous_value, prior_totals, range_totals, sorted_codes, tie_hash
 from wardscope.schema import quoted
 
 DAY = 86_400
@@ -100,8 +100,8 @@ def lag_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str
 
 
 def prev_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str) -> DataFrame:
-    """Value of the row before."""
-    return lag_by(df, keys, order, column, {out: 1})
+    """Value of the row before. Keys may be few and large: a key is spread over as many tasks as its rows need."""
+    return previous_value(df, keys, [F.col(c) if isinstance(c, str) else c for c in order], quoted(column), out)
 
 
 def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, widths: dict[str, int],
