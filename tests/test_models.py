@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from wardscope import sources
+from wardscope.functions import numeric
 from wardscope.models import boosting, clusters, embeddings, forecast, hotspot, linear, multiclass
 
 
@@ -186,3 +189,46 @@ def test_weighted_quantiles_are_exact(spark, alpha):
             if so_far >= alpha * total * (1 - 1e-12):
                 assert found[k] == v
                 break
+
+
+def test_gamma_functions(spark):
+    points = [1e-3, 0.1, 0.5, 1.0, 2.5, 7.0, 40.0, 1e4]
+    row = spark.createDataFrame([(x,) for x in points], "x double").select(
+        "x", numeric.log_gamma(F.col("x")).alias("g"), numeric.digamma(F.col("x")).alias("d"), numeric.trigamma(F.col("x")).alias("t")).collect()
+    for r in row:
+        near = r.x * 1e-4
+        slope = (math.lgamma(r.x + near) - math.lgamma(r.x - near)) / (2 * near)
+        assert r.g == pytest.approx(math.lgamma(r.x), rel=1e-9, abs=1e-9) and r.d == pytest.approx(slope, rel=1e-6, abs=1e-6)
+        assert r.t == pytest.approx(sum(1 / (r.x + k) ** 2 for k in range(4000)) + 1 / (r.x + 3999.5), rel=1e-6)
+
+
+@pytest.mark.parametrize("shape", [0.3, 2.0, 30.0, None])
+def test_dispersion_is_the_numerical_optimum(spark, shape):
+    r = np.random.default_rng(5)
+    mu = r.uniform(0.5, 8, 1500)
+    y = r.poisson(mu * (r.gamma(shape, 1 / shape, 1500) if shape else 1.0)) if shape else np.rint(mu)
+    w = r.uniform(0, 1, 1500)
+    got = linear.best_dispersion(spark.createDataFrame(list(zip(map(float, y), map(float, mu), map(float, w))), "y double, mu double, w double"), "y", "mu", "w")
+    lgamma = np.vectorize(math.lgamma)
+
+    def likelihood(log_size):
+        size = math.exp(log_size)
+        return float((w * (lgamma(y + size) - math.lgamma(size) - size * np.log1p(mu / size) + y * np.log(mu / (size + mu)))).sum())
+
+    grid = np.linspace(-math.log(1e4), -math.log(1e-4), 4001)
+    best = max(likelihood(x) for x in grid)
+    assert likelihood(-math.log(got)) >= best - 1e-6 and (shape is not None or got == pytest.approx(1e-4))
+
+
+def test_zero_inflated_likelihood_never_falls(spark):
+    r = np.random.default_rng(8)
+    x, z = r.normal(size=(2, 2000))
+    y = np.where(r.random(2000) < 0.3, 0, r.poisson(np.exp(0.8 + 0.5 * x) * r.gamma(2.0, 0.5, 2000)))
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for a, b, c in zip(x, z, y)], "x double, z double, y int")
+    model = linear.zinb(df, "y", ["x", "z"], rounds=8, tolerance=0.0)
+    assert len(model.history) > 3 and model.history == sorted(model.history) and 0.3 < model.dispersion < 0.8
+    rows = model.parts(df).select("y", "_mu", "_pi").collect()
+    size = 1 / model.dispersion
+    own = sum(math.log((p if n == 0 else 0.0) + (1 - p) * math.exp(
+        math.lgamma(n + size) - math.lgamma(size) - math.lgamma(n + 1) - size * math.log1p(m / size) + n * math.log(m / (size + m)))) for n, m, p in rows)
+    assert model.history[-1] == pytest.approx(own, rel=1e-9)

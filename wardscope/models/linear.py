@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -13,6 +14,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinear
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardscope.functions.numeric import digamma, log_gamma, trigamma
 from wardscope.operators.scaling import Standardizer
 from wardscope.schema import quoted
 from wardscope.session import cut_lineage
@@ -76,12 +78,16 @@ class ZeroInflatedModel:
 
     def parts(self, df: DataFrame) -> DataFrame:
         """Add ``_mu`` and the probability of a structural zero ``_pi``."""
-        rows = self.regression.transform(_assemble(df, self.scaler, "_scaled"))
+        rows = _assemble(df, self.scaler, "_scaled")
+        inputs = [f"{c}__z" for c in self.inflation_scaler.columns]
+        return self.score(VectorAssembler(inputCols=inputs, outputCol="_inflation").transform(rows))
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """``parts`` of rows that have the assembled features."""
+        rows = self.regression.transform(rows)
         if self.zeros is None:
             return rows.withColumn("_pi", F.lit(0.0))
-        scored = self.zeros.transform(VectorAssembler(
-            inputCols=[f"{c}__z" for c in self.inflation_scaler.columns], outputCol="_inflation").transform(rows))
-        return scored.withColumn("_pi", vector_to_array("_zero_probability")[1])
+        return self.zeros.transform(rows).withColumn("_pi", vector_to_array("_zero_probability")[1])
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Add the expected count."""
@@ -105,52 +111,90 @@ def _nb_zero(mu: Column, dispersion: float) -> Column:
     return F.pow(1 + dispersion * mu, F.lit(-1.0 / dispersion))
 
 
+def _nb_log_chance(y: Column, mu: Column, r: float) -> Column:
+    """Logarithm of the negative binomial probability of ``y``; ``r`` is one over the dispersion."""
+    size = F.lit(r)
+    return (log_gamma(y + size) - log_gamma(size) - log_gamma(y + 1) - size * F.log1p(mu / size)
+            + F.when(y > 0, y * F.log(mu / (size + mu))).otherwise(0.0))
+
+
+def best_dispersion(rows: DataFrame, y: str, mu: str, weight: str, start: float = 0.5, low: float = 1e-4, high: float = 1e4,
+                    tolerance: float = 1e-6, rounds: int = 40) -> float:
+    """Dispersion between ``low`` and ``high`` of the largest weighted negative binomial likelihood at the expected counts ``mu``.
+
+    Newton steps on the logarithm of r = 1 / dispersion, each one aggregate of the first two derivatives; a step that leaves
+    the interval known to hold the optimum is replaced by its end or its middle.
+    """
+    left, right = -math.log(high), -math.log(low)
+    at, ends = min(max(-math.log(start), left), right), {left, right}
+    for _ in range(rounds):
+        r = math.exp(at)
+        count, mean, size = F.col(y), F.col(mu), F.lit(r)
+        slope = digamma(count + size) - digamma(size) - F.log1p(mean / size) + (mean - count) / (size + mean)
+        curve = trigamma(count + size) - trigamma(size) + mean / (size * (size + mean)) - (mean - count) / ((size + mean) * (size + mean))
+        first, second = (v or 0.0 for v in rows.agg(F.sum(F.col(weight) * slope), F.sum(F.col(weight) * curve)).first())
+        g, h = r * first, r * first + r * r * second
+        if (g >= 0 and at == right) or (g <= 0 and at == left):
+            break  # the likelihood still rises at a bound
+        left, right = (at, right) if g > 0 else (left, at)
+        step = at - g / h if h < 0 else (right if g > 0 else left)
+        if not left < step < right:
+            end = right if g > 0 else left
+            step = end if end in ends else (left + right) / 2
+        ends.discard(step)
+        if abs(step - at) < tolerance:
+            at = step
+            break
+        at = step
+    return math.exp(-at)
+
+
 def zinb(df: DataFrame, label: str, columns: Sequence[str], inflation: int = 5, rounds: int = 8, alpha: float = 1e-4,
          tolerance: float = 1e-4) -> ZeroInflatedModel:
     """Zero-inflated negative binomial regression by expectation and maximisation.
 
     The zero part uses the first ``inflation`` features. Each round weighs the rows by the probability that they
-    are no structural zero, refits both parts as weighted MLlib regressions and takes the dispersion from
-    moments. Weights divided by 1 + αμ turn the Poisson equations into those of the negative binomial.
+    are no structural zero, refits both parts as weighted MLlib regressions and takes the dispersion of the largest likelihood.
+    Weights divided by 1 + αμ turn the Poisson equations into those of the negative binomial. ``history`` holds the
+    log-likelihood of the model of each round; it never falls, as a round that would lower it ends the fit and is not taken.
     """
     scaler = Standardizer.fit(df, columns)
-    rows = cut_lineage(_assemble(df, scaler, "_scaled").withColumn("_y", F.col(label).cast("double")))
+    rows = _assemble(df, scaler, "_scaled").withColumn("_y", F.col(label).cast("double"))
     inflated = Standardizer(scaler.columns[:inflation], scaler.means[:inflation], scaler.deviations[:inflation])
-    names = [f"{c}__z" for c in inflated.columns]
-    rows = VectorAssembler(inputCols=names, outputCol="_inflation").transform(rows)
+    rows = VectorAssembler(inputCols=[f"{c}__z" for c in inflated.columns], outputCol="_inflation").transform(rows)
+    rows = cut_lineage(rows.select("_y", "_scaled", "_inflation"))
     start = _log_regression("_y", None, alpha, 25).fit(rows)
     zero_share = rows.agg(F.avg((F.col("_y") == 0).cast("double"))).first()[0] or 0.0
-    model = ZeroInflatedModel(scaler, inflated, start, None, 0.5, [])
+    model, taken = ZeroInflatedModel(scaler, inflated, start, None, 0.5, []), None
     logistic = LogisticRegression(featuresCol="_inflation", labelCol="_zero", weightCol="_share", regParam=1e-4,
                                   probabilityCol="_zero_probability", rawPredictionCol="_zero_raw",
                                   predictionCol="_zero_prediction", maxIter=50)
-    first = True
-    for _ in range(rounds):
-        scored = start.transform(rows) if first else model.parts(df.withColumn("_y", F.col(label).cast("double")))
-        if first:
+    for k in range(rounds + 1):
+        scored = model.score(rows)
+        if not k:
             scored = scored.withColumn("_pi", F.lit(zero_share / 2))
         base = _nb_zero(F.col("_mu"), model.dispersion)
-        structural = F.when(F.col("_y") == 0, F.col("_pi") / (F.col("_pi") + (1 - F.col("_pi")) * base)).otherwise(0.0)
-        chance = F.when(F.col("_y") == 0, F.col("_pi") + (1 - F.col("_pi")) * base)
-        state = scored.withColumn("_z", structural)
-        if "_inflation" not in state.columns:
-            state = VectorAssembler(inputCols=names, outputCol="_inflation").transform(state)
-        state = cut_lineage(state.select("_y", "_scaled", "_inflation", "_mu", "_z", F.log(chance).alias("_loss")))
-
-        kept = 1 - F.col("_z")
-        excess = (F.col("_y") - F.col("_mu")) ** 2 - F.col("_mu")
-        spread, loss = state.agg(F.sum(kept * excess) / F.sum(kept * F.col("_mu") ** 2), F.sum("_loss")).first()
-        model.dispersion = max(spread or 0.0, 1e-4)
-        model.history.append(loss or 0.0)
-        weighted = state.withColumn("_share", kept / (1 + model.dispersion * F.col("_mu"))).drop("_mu")
-        model.regression = _log_regression("_y", "_share", alpha, 25).fit(weighted.filter("_share > 0"))
+        chance = F.col("_pi") + (1 - F.col("_pi")) * base
+        loss = F.when(F.col("_y") == 0, F.log(chance)).otherwise(
+            F.log1p(-F.col("_pi")) + _nb_log_chance(F.col("_y"), F.col("_mu"), 1 / model.dispersion))
+        kept = F.when(F.col("_y") == 0, (1 - F.col("_pi")) * base / chance).otherwise(1.0)
+        state = cut_lineage(scored.select("_y", "_scaled", "_inflation", "_mu", kept.alias("_kept"), loss.alias("_loss")))
+        if k:  # the first state is only a start, not a model
+            reached = state.agg(F.sum("_loss")).first()[0] or 0.0
+            history = taken.history if taken else []
+            if history and reached < history[-1]:
+                break
+            taken = replace(model, history=[*history, reached])
+            if k == rounds or (history and reached - history[-1] <= tolerance * (abs(reached) + 1)):
+                break
+
+        weighted = state.withColumn("_share", F.col("_kept") / (1 + model.dispersion * F.col("_mu"))).drop("_mu")
+        regression = _log_regression("_y", "_share", alpha, 25).fit(weighted.filter("_share > 0"))
+        expected = cut_lineage(regression.transform(weighted).select("_y", "_mu", "_kept"))
+        model = replace(model, regression=regression, dispersion=best_dispersion(expected, "_y", "_mu", "_kept", model.dispersion))
         if zero_share > 0:
-            halves = F.explode(F.array(F.struct(F.lit(1.0).alias("_zero"), F.col("_z").alias("_share")),
-                                       F.struct(F.lit(0.0).alias("_zero"), kept.alias("_share"))))
+            halves = F.explode(F.array(F.struct(F.lit(1.0).alias("_zero"), (1 - F.col("_kept")).alias("_share")),
+                                       F.struct(F.lit(0.0).alias("_zero"), F.col("_kept").alias("_share"))))
             stacked = state.select("_inflation", halves.alias("h")).select("_inflation", "h.*").filter("_share > 0")
             model.zeros = logistic.fit(stacked)
-        first = False
-        recent = model.history[-2:]
-        if len(recent) == 2 and abs(recent[1] - recent[0]) <= tolerance * (abs(recent[0]) + 1):
-            break
-    return model
+    return taken or model
