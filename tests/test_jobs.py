@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from wardscope.catalog.base import Tables
 from wardscope.catalog.jobs import engineer_input, stage2_input
 from wardscope.models.multiclass import MulticlassTrees
-from wardscope.plans.count_forecast import beat_day_features, count_forecast
+from wardscope.plans.count_forecast import CountModel, beat_day_features, count_forecast
 from wardscope.plans.engineer import daily_features, stage3
 from wardscope.plans.features import stage2
-from wardscope.plans.hotspots import hotspots
+from wardscope.plans.hotspots import HotspotScorer, hotspots
 from wardscope.plans.preprocess import stage1
 from wardscope.plans.type_classifier import LEAKING, TypeModel, type_classifier
 from wardscope.sources import read_table, row_counts, write_partitioned
@@ -92,7 +92,7 @@ def forecast_run(tables):
     return count_forecast(stage2_input(tables), year_min=1995, rounds=3, quantile_rounds=2, days=2, split_date="2000-06-01")
 
 
-def test_count_forecast(forecast_run, tmp_path):
+def test_count_forecast(tables, forecast_run, tmp_path):
     assert forecast_run.best in forecast_run.models and forecast_run.leaderboard.count() == 8
     assert forecast_run.forecast.groupBy("Beat").count().filter("count <> 2").isEmpty()
     assert forecast_run.predictions.filter("q_low > q_hi or y_pred_int < 0").isEmpty()
@@ -106,6 +106,13 @@ def test_count_forecast(forecast_run, tmp_path):
     best = forecast_run.leaderboard.filter("rounded").filter(F.col("model") == forecast_run.best).first()
     assert lines[2:] == [f"Best model: {forecast_run.best}", f"Best int-MAE: {best.MAE:.3f}", f"Best int-RMSE: {best.RMSE:.3f}"] and len(lines) == 5
     assert spark.read.csv(f"{path}/training_history_XGBPoisson", header=True).count() == 3
+    again = CountModel.load(forecast_run.series, path)
+    scored = again.predict(stage2_input(tables)).join(forecast_run.predictions.select("Date", "Beat"), ["Date", "Beat"], "left_semi")
+    assert sorted(map(str, scored.select(forecast_run.predictions.columns).collect())) == sorted(map(str, forecast_run.predictions.collect()))
+    for name, model in forecast_run.models.items():
+        assert again.predict(stage2_input(tables).drop("Lat_Bin"), name).filter("y_pred_cont is null").isEmpty() and type(again.models[name]) is type(model)
+    zinb, stored = forecast_run.models["ZINB_full"], again.models["ZINB_full"]
+    assert (stored.dispersion, stored.history, stored.scaler, stored.inflation_scaler) == (zinb.dispersion, zinb.history, zinb.scaler, zinb.inflation_scaler)
     worst = spark.read.csv(f"{path}/worst_beats_mae", header=True, inferSchema=True)
     assert worst.filter("N < 50").isEmpty() and worst.count() <= 25
 
@@ -127,6 +134,10 @@ def test_hotspots(tables, tmp_path):
     assert "Hour_hop2" in run.features and run.table.filter("prob_hotspot is null").isEmpty()
     run.write(str(tmp_path / "hot"))
     assert run.table.sparkSession.read.csv(str(tmp_path / "hot" / "loss_history"), header=True).count() == len(run.model.history) == 1
+    calls = HotspotScorer.load(run.table, str(tmp_path / "hot")).predict(stage2(stage2_input(tables), "ID"), ["ID"])
+    given = {(r.Beat, r.Week): r.prob_hotspot for r in calls.collect()}
+    wanted = {(r.Beat, r.Date_Only): r.prob_hotspot for r in run.table.collect()}
+    assert set(wanted) <= set(given) and all(given[k] == pytest.approx(v, abs=1e-9) for k, v in wanted.items())
     plain = hotspots(stage2_input(tables), ids=["ID"], year_min=1995, neighbours=False, kind="perceptron", hidden=4)
     assert plain.features == ["Hour", "Month"]
 

@@ -11,9 +11,10 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from wardscope import sources
 from wardscope.functions.numeric import digamma, log_gamma, trigamma
 from wardscope.operators.scaling import Standardizer
 from wardscope.schema import quoted
@@ -37,6 +38,31 @@ class PoissonModel:
         """Scaling, assembling and regression; the stored model scores a table that has the feature columns."""
         return PipelineModel([*_inputs(self.scaler), self.regression])
 
+    def save(self, df: DataFrame, path: str) -> None:
+        """Store stages and scaling below a folder; ``df`` names the session."""
+        _save(df, path, self, len(self.scaler.columns), None, [])
+
+    @classmethod
+    def load(cls, df: DataFrame, path: str) -> PoissonModel:
+        """Load what :meth:`save` stored, into the session of ``df``."""
+        stages, scaler, _ = _load(df, path)
+        return cls(scaler, stages[2])
+
+
+FACTS = "columns array<string>, means array<double>, deviations array<double>, inflation int, dispersion double, history array<double>"
+
+
+def _save(df: DataFrame, path: str, model: PoissonModel | ZeroInflatedModel, inflation: int, dispersion: float | None, history: list[float]) -> None:
+    scaler = model.scaler
+    sources.save_model(model.pipeline(), path)
+    facts = [(list(scaler.columns), list(scaler.means), list(scaler.deviations), inflation, dispersion, history)]
+    sources.write_manifest(df.sparkSession.createDataFrame(facts, FACTS), f"{path}_facts")
+
+
+def _load(df: DataFrame, path: str) -> tuple[list[Transformer], Standardizer, Row]:
+    facts = df.sparkSession.read.schema(FACTS).json(f"{path}_facts").first()
+    return sources.load_model(path).stages, Standardizer(tuple(facts.columns), tuple(facts.means), tuple(facts.deviations)), facts
+
 
 def _inputs(scaler: Standardizer) -> list[Transformer]:
     """What ``_assemble`` does, as stages that can be stored."""
@@ -100,6 +126,18 @@ class ZeroInflatedModel:
             inputCols=[f"{c}__z" for c in self.inflation_scaler.columns], outputCol="_inflation"), self.zeros]
         return PipelineModel([*_inputs(self.scaler), self.regression, *zeros])
 
+    def save(self, df: DataFrame, path: str) -> None:
+        """Store stages, scaling, dispersion and history below a folder; ``df`` names the session."""
+        _save(df, path, self, len(self.inflation_scaler.columns), self.dispersion, self.history)
+
+    @classmethod
+    def load(cls, df: DataFrame, path: str) -> ZeroInflatedModel:
+        """Load what :meth:`save` stored, into the session of ``df``."""
+        stages, scaler, facts = _load(df, path)
+        n = facts.inflation
+        inflated = Standardizer(scaler.columns[:n], scaler.means[:n], scaler.deviations[:n])
+        return cls(scaler, inflated, stages[2], stages[4] if len(stages) > 3 else None, facts.dispersion, list(facts.history))
+
     def zero_probability(self, df: DataFrame, out: str = "p_zero") -> DataFrame:
         """Add the probability of observing zero."""
         scored = self.parts(df)

@@ -73,6 +73,43 @@ def beat_day_features(df: DataFrame, year_min: int = 2010, shift: int = 1, dense
     return to_number_or_zero(series, features)
 
 
+FACTS = "features array<string>, names array<string>, kinds array<string>, best string, year_min int, shift int, dense boolean"
+
+
+@dataclass
+class CountModel:
+    """What a written run needs to score incidents: models and bands, and how their features are read."""
+
+    features: list[str]
+    models: dict[str, PoissonModel | BoostedTrees | ZeroInflatedModel]
+    bands: tuple[BoostedTrees, BoostedTrees]
+    best: str
+    reading: tuple[int, int, bool]
+
+    @classmethod
+    def load(cls, df: DataFrame, path: str) -> CountModel:
+        """Load from the folder of :meth:`CountForecast.write`, into the session of ``df``."""
+        facts = df.sparkSession.read.schema(FACTS).json(f"{path}/models/facts").first()
+        classes = {c.__name__: c for c in (PoissonModel, BoostedTrees, ZeroInflatedModel)}
+        models = {name: classes[kind].load(df, f"{path}/models/{name}") for name, kind in zip(facts.names, facts.kinds)}
+        bands = tuple(BoostedTrees.load(df, f"{path}/models/{name}") for name in ("q_low", "q_hi"))
+        return cls(list(facts.features), models, bands, facts.best, (facts.year_min, facts.shift, facts.dense))
+
+    def predict(self, df: DataFrame, name: str | None = None) -> DataFrame:
+        """Table of predictions for every beat and day of the incidents ``df``, by the best model unless one is named.
+
+        Features that the table lacks are 0, as nulls are.
+        """
+        name = name or self.best
+        series = beat_day_features(df, *self.reading)
+        series = series.withColumns({c: F.lit(0.0) for c in self.features if not has(series, c)})
+        low, high = (with_features(model, self.features) for model in self.bands)
+        model = self.models[name]
+        scored = with_features(model, self.features)(series, name) if isinstance(model, BoostedTrees) else model.predict(series, name)
+        scored = scored.withColumn(name, clip_prediction(F.col(name)))
+        return prediction_table(high(low(scored, "_low"), "_high"), "Date_Only", "Beat", COUNT, name, "_low", "_high")
+
+
 @dataclass
 class CountForecast:
     """Models and tables of one run."""
@@ -92,6 +129,7 @@ class CountForecast:
     errors: DataFrame
     manifest: DataFrame
     locations: DataFrame | None
+    reading: tuple[int, int, bool]
 
     def summary(self) -> DataFrame:
         """Five lines on the target and on the best model's errors in whole counts."""
@@ -117,12 +155,12 @@ class CountForecast:
         sources.write_manifest(self.manifest, f"{path}/MANIFEST")
         sources.write_summary(self.summary(), f"{path}/summary")
         for name, model in self.models.items():
-            if isinstance(model, BoostedTrees):
-                model.save(self.series, f"{path}/models/{name}")
-            else:
-                sources.save_model(model.pipeline(), f"{path}/models/{name}")
+            model.save(self.series, f"{path}/models/{name}")
         for name, model in zip(("q_low", "q_hi"), self.bands):
             model.save(self.series, f"{path}/models/{name}")
+        kinds = [type(model).__name__ for model in self.models.values()]
+        facts = [(self.features, list(self.models), kinds, self.best, *self.reading)]
+        sources.write_manifest(self.series.sparkSession.createDataFrame(facts, FACTS), f"{path}/models/facts")
 
 
 def count_forecast(df: DataFrame, split_date: object = None, q_low: float = 0.2, q_high: float = 0.8, val_frac: float = 0.15,
@@ -187,4 +225,4 @@ def count_forecast(df: DataFrame, split_date: object = None, q_low: float = 0.2,
         aggregates.citywide_daily(ahead, "Date", "CrimeCount_Pred", "CrimeCount_Pred").orderBy("Date"),
         aggregates.citywide_daily(table, "Date", "y_true", "Citywide_Actual").orderBy("Date"),
         error_histogram(table, "y_true", "y_pred_int"), manifest,
-        aggregates.centroid_median(df, "Beat") if located else None)
+        aggregates.centroid_median(df, "Beat") if located else None, (year_min, shift, dense))

@@ -56,6 +56,59 @@ class Hotspots:
         sources.write_manifest(self.inputs, f"{path}/model_inputs")
 
 
+INPUTS = ("features array<string>, means array<double>, deviations array<double>, model_columns array<string>, threshold double, "
+          "kind string, neighbours boolean, dist_threshold double, year_min int")
+
+
+@dataclass
+class HotspotScorer:
+    """What a written run needs to call the weeks of incidents: features and their scaling, model and threshold."""
+
+    model: HotspotModel
+    scaler: scaling.Standardizer
+    threshold: float
+    neighbours: bool
+    dist_threshold: float
+    year_min: int
+
+    @classmethod
+    def load(cls, df: DataFrame, path: str) -> HotspotScorer:
+        """Load from the folder of :meth:`Hotspots.write`, into the session of ``df``."""
+        facts = df.sparkSession.read.schema(INPUTS).json(f"{path}/model_inputs").first()
+        assembler, classifier = sources.load_model(f"{path}/model").stages
+        scaler = scaling.Standardizer(tuple(facts.features), tuple(facts.means), tuple(facts.deviations))
+        return cls(HotspotModel(assembler.getInputCols(), classifier, facts.kind), scaler, facts.threshold, facts.neighbours,
+                   facts.dist_threshold, facts.year_min)
+
+    def predict(self, df: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+        """Probability and call for every beat and week of the incidents ``df``; features that it lacks are 0, as nulls are."""
+        df, ids = identified(merge_suffixed(df, SUFFIXED), ids)
+        latest = cut_lineage(weekly_rows(df, ids, self.year_min))
+        latest = latest.withColumns({c: F.lit(0.0) for c in self.scaler.columns if c not in latest.columns})
+        rows, _ = model_rows(latest, self.scaler, self.neighbours, self.dist_threshold)
+        scored = self.model.predict(rows).select("Beat", "Week", "prob_hotspot")
+        return scored.withColumn("Prediction", (F.col("prob_hotspot") >= self.threshold).cast("int"))
+
+
+def identified(df: DataFrame, ids: Sequence[str] | None) -> tuple[DataFrame, Sequence[str]]:
+    """Records and the columns that identify them; without ``ids`` equal records count once and their hash does."""
+    if ids:
+        return df, ids
+    return dedup(df).withColumn("_row_id", tie_hash([quoted(c) for c in df.columns])), ["_row_id"]
+
+
+def model_rows(latest: DataFrame, scaler: scaling.Standardizer, neighbours: bool, dist_threshold: float) -> tuple[DataFrame, list[str]]:
+    """Scaled features ``f0``, ``f1``, … of each beat and week, and what they are called."""
+    columns = list(scaler.columns)
+    scaled = scaler.transform(to_number_or_zero(latest, columns))
+    if neighbours:
+        edges = cut_lineage(spatial.proximity_edges(latest, "Beat", ["Week"], dist_threshold))
+        scaled = neighbor_features(scaled, edges, "Beat", "Week", scaler.columns, dist_threshold)
+        columns += [f"{c}_hop{hop}" for hop in (1, 2) for c in scaler.columns]
+    # Names with blanks are not safe inside an assembler.
+    return scaled.select("Beat", "Week", "is_hotspot", *(quoted(c).alias(f"f{i}") for i, c in enumerate(columns))), columns
+
+
 def weekly_rows(df: DataFrame, ids: Sequence[str], year_min: int = 2010) -> DataFrame:
     """Last record of each beat and week with its hotspot label."""
     require(df, ["Beat", "Date_TS"])
@@ -74,25 +127,14 @@ def hotspots(df: DataFrame, ids: Sequence[str] | None = None, year_min: int = 20
     Records that are equal in all columns count once unless ``ids`` name the columns that identify them.
     ``neighbours=False`` is the variant on plain features.
     """
-    df = merge_suffixed(df, SUFFIXED)
-    if not ids:
-        df = dedup(df).withColumn("_row_id", tie_hash([quoted(c) for c in df.columns]))
-    latest = cut_lineage(weekly_rows(df, ids or ["_row_id"], year_min))
+    df, ids = identified(merge_suffixed(df, SUFFIXED), ids)
+    latest = cut_lineage(weekly_rows(df, ids, year_min))
     features = select_available(latest, FEATURES)
-    numbers = to_number_or_zero(latest, features)
-    scaler = scaling.Standardizer.fit(numbers, features)
-    scaled = scaler.transform(numbers)
-    columns = list(features)
-    if neighbours:
-        edges = cut_lineage(spatial.proximity_edges(latest, "Beat", ["Week"], dist_threshold))
-        scaled = neighbor_features(scaled, edges, "Beat", "Week", features, dist_threshold)
-        columns += [f"{c}_hop{hop}" for hop in (1, 2) for c in features]
-    # Names with blanks are not safe inside an assembler.
-    plain = {c: f"f{i}" for i, c in enumerate(columns)}
-    rows = scaled.select("Beat", "Week", "is_hotspot", *(quoted(c).alias(name) for c, name in plain.items()))
+    scaler = scaling.Standardizer.fit(to_number_or_zero(latest, features), features)
+    rows, columns = model_rows(latest, scaler, neighbours, dist_threshold)
     rows = cut_lineage(sampling.stratified_split(rows, "is_hotspot", ["Beat", "Week"], test_size, seed))
 
-    model = hotspot_classifier(rows.filter("not is_test"), "is_hotspot", list(plain.values()), kind, focal_rounds,
+    model = hotspot_classifier(rows.filter("not is_test"), "is_hotspot", [f"f{i}" for i in range(len(columns))], kind, focal_rounds,
                                hidden=hidden, seed=seed)
     scored = cut_lineage(model.predict(rows).select("Beat", "Week", "is_hotspot", "is_test", "prob_hotspot"))
     test = scored.filter("is_test")
@@ -111,4 +153,5 @@ def hotspots(df: DataFrame, ids: Sequence[str] | None = None, year_min: int = 20
                     cls.confusion_matrix(called, "is_hotspot", "Prediction", [0, 1]), metrics, centroids, metrics.select(
                         F.array(*map(F.lit, features)).alias("features"), F.array(*map(F.lit, scaler.means)).alias("means"),
                         F.array(*map(F.lit, scaler.deviations)).alias("deviations"), F.array(*map(F.lit, columns)).alias("model_columns"),
-                        F.lit(float(threshold)).alias("threshold")))
+                        F.lit(float(threshold)).alias("threshold"), F.lit(kind).alias("kind"), F.lit(neighbours).alias("neighbours"),
+                        F.lit(float(dist_threshold)).alias("dist_threshold"), F.lit(year_min).alias("year_min")))
