@@ -15,7 +15,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar by 0.8 or more; the stage kept its name."""
+    """One document of each group whose five-word shingles are similar by 0.8 or more: SimHash and MinHash propose, an exact check decides."""
     return nearcopies.keep_one(docs)
 
 

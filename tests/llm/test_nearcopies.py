@@ -89,3 +89,11 @@ def test_links_and_keys():
     trials = [np.unique(draw.integers(1 << 63, size=400, dtype=np.uint64)) for _ in range(300)]  # 320 of 400 in both: similarity 0.8
     met = sum(bool((band_keys(t[:-40], 30, 5) == band_keys(t[40:], 30, 5)).any()) for t in trials)
     assert met == len(trials) and len(shingles("a b c d e f")) == 2
+
+
+def test_fingerprints_propose_close_copies(spark):
+    draw = random.Random(8)
+    words = [[f"w{draw.randrange(5000)}" for _ in range(600)] for _ in range(6)]
+    rows = list(enumerate([" ".join(w) for w in words] + [" ".join([*w[:-1], "other"]) for w in words]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in keep_one(frame, bands=0).collect()} == set(range(6)) == plain_kept(rows)  # no bands: fingerprints alone

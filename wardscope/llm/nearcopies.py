@@ -1,4 +1,4 @@
-"""One document of each group of near copies by exact Jaccard similarity of word shingles; MinHash bands find the pairs."""
+"""One document of each group of near copies: SimHash fingerprints, then MinHash bands, propose pairs; exact Jaccard similarity of word shingles decides."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardscope.llm import simhash
 from wardscope.llm.common import apply_arrow, components, free_name, map_arrow, materialise, with_row
 
 #: Documents are near copies when their similarity is LEAST[0] / LEAST[1] or more.
@@ -85,6 +86,16 @@ def links_in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield flush()
 
 
+def close_prints(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs ``u, v`` of nodes that connect what has equal fingerprints (column ``print``) or such within ``max_bits`` bits."""
+    firsts = distinct.groupBy("print").agg(F.min("node").alias("first"))
+    equal = distinct.select("node", "print").join(firsts, "print").where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    tied = simhash.links(firsts.select("print"), max_bits, 6, 4096)
+    ends = tied.join(firsts.select(F.col("print").alias("u"), F.col("first").alias("a")), "u").join(
+        firsts.select(F.col("print").alias("v"), F.col("first").alias("b")), "v")
+    return equal.unionByName(ends.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")))
+
+
 def mixed_links(met: DataFrame, roots: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
     """Links inside the bands' groups that hold documents of several roots; groups of the same documents count once.
 
@@ -105,7 +116,8 @@ def mixed_links(met: DataFrame, roots: DataFrame, sets: DataFrame, tile: int) ->
     return map_arrow(rows.repartition(*names).sortWithinPartitions(*names), links_in_groups, "u long, v long")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, bands: int = 30, rows: int = 5, tile: int = 1024) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, bands: int = 30, rows: int = 5, tile: int = 1024,
+             max_bits: int = 4) -> DataFrame:
     """``docs`` with one document of each group of near copies: that with the smallest id, and its first copy if rows repeat.
 
     Documents are linked when the sets of their shingles of ``width`` words (lower-cased in A-Z, cut at ASCII white space)
@@ -113,10 +125,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     alike. Documents without an id are kept only if no document of their group has one, and then one of them. The columns
     stay as they are.
 
-    Pairs meet when all ``rows`` minima of one of the ``bands`` are equal: a pair of similarity 0.8 is missed with a
-    probability of (1 - 0.8^5)^30, some 7 in a million, a closer one less often. Equal sets are one document from the start.
-    Each group of a band is first compared with its smallest member; only groups of three or more that are not one
-    connected group after that are compared in full.
+    SimHash fingerprints of the sets propose what is connected within ``max_bits`` bits. Pairs of a similarity of 0.8
+    are mostly further apart, so MinHash adds those with all ``rows`` minima of one of the ``bands`` equal: of these such a
+    pair is missed with a probability of (1 - 0.8^5)^30, some 7 in a million, a closer one less often. Equal sets are one
+    document from the start. Each group of a band is first compared with its smallest member; only groups of three or
+    more that are not one connected group after that and the fingerprints are compared in full.
     """
     docs, row = with_row(docs, doc_id)
     texts = docs.select(F.col(f"`{row}`").cast("long").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
@@ -127,22 +140,25 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     def signatures(found: pa.Array) -> pa.Array:
         sets = [shingles(t.as_py(), width) for t in found]
         nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
-        return pa.StructArray.from_arrays([pa.array(nodes.view(np.int64)), pa.array([signed(band_keys(s, bands, rows)) for s in sets], pa.list_(pa.int64()))],
-                                          ["node", "keys"])
+        prints = np.array([simhash.majority(s) for s in sets], dtype=np.uint64)
+        return pa.StructArray.from_arrays([pa.array(nodes.view(np.int64)), pa.array(prints.view(np.int64)),
+                                           pa.array([signed(band_keys(s, bands, rows)) for s in sets], pa.list_(pa.int64()))], ["node", "print", "keys"])
 
     def sets_of(found: pa.Array) -> pa.Array:
         return pa.array([signed(shingles(t.as_py(), width)) for t in found], pa.list_(pa.int64()))
 
-    made = texts.select("row", "id", apply_arrow(docs, signatures, "node long, keys array<long>", "text").alias("s"))
+    made = texts.select("row", "id", apply_arrow(docs, signatures, "node long, print long, keys array<long>", "text").alias("s"))
     best = F.min(F.struct(F.col("id").isNull(), "id", "row"))
-    distinct = made.select("row", "id", "s.*").groupBy("node").agg(best.alias("best"), F.first("keys").alias("keys"))
+    distinct = made.select("row", "id", "s.*").groupBy("node").agg(best.alias("best"), F.first("print").alias("print"), F.first("keys").alias("keys"))
     distinct = materialise(distinct, "distinct-sets")
     banded = distinct.select("node", F.posexplode("keys").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1")
     met = materialise(banded.join(shared, ["band", "key"]), "met")
-    wanted = distinct.join(met.select("node").distinct(), "node").select("node", F.col("best.row").alias("row"))
+    close = materialise(close_prints(distinct, max_bits), "close-prints")
+    named = met.select("node").unionByName(close.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
+    wanted = distinct.join(named, "node").select("node", F.col("best.row").alias("row"))
     sets = materialise(texts.join(wanted, "row").select("node", apply_arrow(docs, sets_of, "array<long>", "text").alias("hashes")), "sets")
-    pairs = met.where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
+    pairs = met.where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v")).unionByName(close).distinct()
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
     near = materialise(both.where(sum(LEAST) * F.size(F.array_intersect("a", "b")) >= LEAST[0] * (F.size("a") + F.size("b"))).select("u", "v"), "near")

@@ -34,6 +34,14 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(stops), bitorder="little").view("<u8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Unsigned fingerprint of given hashes; zero for none."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for k in range(0, len(hashes), 1 << 16):
+        ones += np.unpackbits(hashes[k:k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def with_fingerprint(docs: DataFrame, text: str, column: str, width: int = 4) -> DataFrame:
     """Adds the fingerprint as a (signed) long."""
     def prints(texts: pa.Array) -> pa.Array:
